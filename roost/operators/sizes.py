@@ -1,0 +1,16 @@
+"""Is a table small enough to send to every executor?"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+BROADCAST_LIMIT = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate, from file sizes and column widths; runs no job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def is_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
+    return estimated_bytes(df) <= limit
