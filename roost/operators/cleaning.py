@@ -7,7 +7,7 @@ pass, the partition column derived from it, and how duplicates are settled.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +31,7 @@ class Domain:
     rules: tuple[str, ...]
     key: str
     order: str
-    derived: dict[str, Column | Callable[[], Column]] | None = None
+    derived: dict[str, Callable[[], Column]] = field(default_factory=dict)
 
     def typed(self, raw: DataFrame) -> DataFrame:
         picked = []
@@ -41,11 +41,13 @@ class Domain:
         return raw.select(*picked)
 
     def valid(self, raw: DataFrame) -> DataFrame:
-        rows = self.typed(raw).where(" AND ".join(f"({rule})" for rule in self.rules))
-        return rows.withColumns({name: make() for name, make in (self.derived or {}).items()})
+        return self.typed(raw).where(" AND ".join(f"({rule})" for rule in self.rules))
 
     def clean(self, raw: DataFrame) -> DataFrame:
-        return first_per_key(self.valid(raw), self.key, self.order)
+        """Typed, valid and unique rows. The partition column is derived last, so the
+        shuffle that finds duplicates does not carry it."""
+        unique = first_per_key(self.valid(raw), self.key, self.order)
+        return unique.withColumns({name: make() for name, make in self.derived.items()})
 
 
 def _present(*columns: str) -> tuple[str, ...]:

@@ -66,10 +66,12 @@ class Marketplace:
         ``listing`` may hold ``listing_id`` and attributes of the listing. With
         ``via_booking`` the listing is the booking's even if the payment names one.
 
-        Payments are added up before any join that shuffles them: a booking or a
-        listing with a huge share of the payments then brings one row per map task
-        and key to the shuffle. Only when no shuffle precedes the join (a stored
-        listing id and broadcast listings) do payments join one by one.
+        Where it saves rows at no further shuffle, payments are added up before a join:
+        a booking or listing with a huge share of them then brings one row per map task.
+        That does not hold in two cases. Listings that are broadcast need no shuffle at
+        all. And with ``by`` columns the sums would be shuffled by booking and ``by``, then
+        again by booking alone; there the join stands directly on its shuffles, where
+        Spark splits an oversized booking at run time.
         """
         attributes = [c for c in listing if c != "listing_id"]
         totals, parts = payments, (total_cents(), F.count(F.lit(1)))
@@ -79,8 +81,11 @@ class Marketplace:
 
         if via_booking or "listing_id" not in payments.columns:
             owner = self.bookings.select("booking_id", "listing_id")
-            totals = add_up(totals, "booking_id", *by).join(owner, "booking_id")
-            parts = F.sum("cents"), F.sum("n")
+            if by:
+                totals = payments.select("booking_id", "amount", *by).join(owner, "booking_id")
+            else:
+                totals = add_up(payments, "booking_id").join(owner, "booking_id")
+                parts = F.sum("cents"), F.sum("n")
         if attributes:
             if not self.small_listings:
                 totals = add_up(totals, "listing_id", *by)

@@ -66,13 +66,15 @@ def write_tuned(
     third of the rows then gets a third of the writers, small months share one, every
     file holds few days, and row groups have narrow bounds. The month leads the sort:
     a partitioned write wants it first and would sort again otherwise, losing the rest.
+
+    Without a row count the session's shuffle width decides, small ranges are joined at
+    run time, and the cap on rows still splits large files.
     """
-    picked = df.select(*table.columns)
-    if rows is None:
-        rows = picked.count()
     order = [c for c in (table.month, *table.order, table.unique) if c]
-    ranged = picked.repartitionByRange(files_for(rows, rows_per_file), *order)
+    width = [files_for(rows, rows_per_file)] if rows is not None else []
+    ranged = df.select(*table.columns).repartitionByRange(*width, *order)
     writer = ranged.sortWithinPartitions(*order).write.mode("overwrite")
+    writer = writer.option("maxRecordsPerFile", rows_per_file)
     if table.month:
         writer = writer.partitionBy(table.month)
     writer.option("partitionOverwriteMode", "static").parquet(path)
