@@ -44,14 +44,17 @@ def _share(part: Column, whole: str) -> Column:
     return F.round(F.try_divide(part, F.col(whole)), 4)
 
 
-def _listing_review_counts(listings, totals):
+# The next five take facts already added up, so that marts can share the totals.
+
+
+def review_counts_of(listings, totals):
     joined = _of_listings(listings, totals, "name", "neighbourhood")
     return joined.select("id", "name", "neighbourhood", "num_reviews").orderBy(
         F.desc("num_reviews"), "id"
     )
 
 
-def _listing_ratings(listings, totals):
+def ratings_of(listings, totals):
     return (
         _of_listings(listings, totals, "name")
         .select("id", "name", _mean(F.col("_stars"), F.col("_rated")).alias("avg_rating"), "num_reviews")
@@ -59,7 +62,7 @@ def _listing_ratings(listings, totals):
     )
 
 
-def _neighbourhood_reviews(listings, totals):
+def neighbourhood_reviews_of(listings, totals):
     return (
         _of_listings(listings, totals, "neighbourhood")
         .groupBy("neighbourhood")
@@ -72,7 +75,7 @@ def _neighbourhood_reviews(listings, totals):
     )
 
 
-def _listing_month_revenue(listings, totals):
+def month_revenue_of(listings, totals):
     monthly = (
         totals.where(F.col("status") == "completed")
         .groupBy("listing_id", "checkin_month")
@@ -89,7 +92,7 @@ def _listing_month_revenue(listings, totals):
     )
 
 
-def _listing_conversion(listings, totals):
+def conversion_of(listings, totals):
     def booked(*statuses: str) -> Column:
         return F.sum(F.when(F.col("status").isin(*statuses), F.col("_bookings")).otherwise(0))
 
@@ -110,27 +113,27 @@ def _listing_conversion(listings, totals):
 
 def reviews_per_listing(listings: DataFrame, reviews: DataFrame) -> DataFrame:
     """Number of reviews of each reviewed listing, most first."""
-    return _listing_review_counts(listings, review_totals(reviews))
+    return review_counts_of(listings, review_totals(reviews))
 
 
 def avg_rating_per_listing(listings: DataFrame, reviews: DataFrame) -> DataFrame:
     """Mean rating of each reviewed listing, best first."""
-    return _listing_ratings(listings, review_totals(reviews))
+    return ratings_of(listings, review_totals(reviews))
 
 
 def reviews_per_neighbourhood(listings: DataFrame, reviews: DataFrame) -> DataFrame:
     """Reviews, mean rating and reviewed listings of each neighbourhood."""
-    return _neighbourhood_reviews(listings, review_totals(reviews))
+    return neighbourhood_reviews_of(listings, review_totals(reviews))
 
 
 def revenue_by_listing_month(listings: DataFrame, bookings: DataFrame) -> DataFrame:
     """Completed bookings, nights and revenue per listing and check-in month."""
-    return _listing_month_revenue(listings, booking_totals(bookings))
+    return month_revenue_of(listings, booking_totals(bookings))
 
 
 def booking_conversion(listings: DataFrame, bookings: DataFrame) -> DataFrame:
     """Share of bookings kept and lost per listing; a no-show counts as cancelled."""
-    return _listing_conversion(listings, booking_totals(bookings))
+    return conversion_of(listings, booking_totals(bookings))
 
 
 def transaction_success_rates(transactions: DataFrame) -> DataFrame:
