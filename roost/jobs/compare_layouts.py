@@ -11,7 +11,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from roost.measure import report
-from roost.measure.timing import time_workloads
+from roost.measure.timing import ACTIONS, time_workloads
 from roost.plans import layouts
 from roost.session import build_session
 from roost.sources.raw import if_present
@@ -40,17 +40,23 @@ def is_built(spark: SparkSession, out: str) -> bool:
 
 
 def run(
-    spark: SparkSession, out: str, scale: Scale, runs: int, rebuild: bool = False, with_csv: bool = False
+    spark: SparkSession,
+    out: str,
+    scale: Scale,
+    runs: int,
+    rebuild: bool = False,
+    with_csv: bool = False,
+    action: str = "noop",
 ) -> dict:
     out = out.rstrip("/")
     if rebuild or not is_built(spark, out):
         build(spark, out, scale, with_csv)
-    timings = {
-        name: time_workloads(load_layout(spark, f"{out}/{name}", START, by_month=name == "tuned"), runs)
-        for name in ("plain", "tuned")
-    }
+    timings = {}
+    for name in ("plain", "tuned"):
+        lake = load_layout(spark, f"{out}/{name}", START, by_month=name == "tuned")
+        timings[name] = time_workloads(lake, runs, action=action)
     sizes = {name: stored_bytes(spark, f"{out}/{name}") for name in timings}
-    result = report.compare(timings["plain"], timings["tuned"], sizes, scale, runs)
+    result = report.compare(timings["plain"], timings["tuned"], sizes, scale, runs, action)
     report.save(spark, f"{out}/report", result)
     return result
 
@@ -63,13 +69,18 @@ def main(argv: list[str]) -> None:
     options.add_argument("--review-rows", type=int, default=12_000_000)
     options.add_argument("--listing-rows", type=int, default=50_000)
     options.add_argument("--runs", type=int, default=3, help="timed runs per query")
+    options.add_argument(
+        "--action", default="noop", choices=ACTIONS, help="what a timed run does with the rows"
+    )
     options.add_argument("--rebuild", action="store_true", help="write the layouts again")
     options.add_argument("--with-csv", action="store_true", help="write a CSV copy of payments too")
     chosen = options.parse_args(argv)
     spark = build_session("roost-compare-layouts")
     scale = Scale(chosen.txn_rows, chosen.booking_rows, chosen.review_rows, chosen.listing_rows)
     try:
-        result = run(spark, chosen.out, scale, chosen.runs, chosen.rebuild, chosen.with_csv)
+        result = run(
+            spark, chosen.out, scale, chosen.runs, chosen.rebuild, chosen.with_csv, chosen.action
+        )
         print(report.as_markdown(result))
     finally:
         spark.stop()

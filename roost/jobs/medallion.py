@@ -13,7 +13,7 @@ import sys
 from datetime import date
 
 from roost.jobs.generate_raw import add_size_options, raw_data
-from roost.paths import LakePaths
+from roost.paths import DATASETS, LakePaths
 from roost.plans import medallion
 from roost.session import build_session
 
@@ -25,6 +25,9 @@ def main(argv: list[str]) -> None:
         options.add_argument(f"--{layer}", help=f"base path of the {layer} layer")
     options.add_argument("--generate", action="store_true", help="land generated records first")
     options.add_argument("--ingest-date", default=date.today().isoformat())
+    options.add_argument(
+        "--gate", nargs="*", default=["reviews"], choices=DATASETS, help="clean tables to check"
+    )
     options.add_argument("--samples", type=int, default=10, help="rows to show of each mart")
     add_size_options(options)
     chosen = options.parse_args(argv)
@@ -37,7 +40,7 @@ def main(argv: list[str]) -> None:
     spark = build_session("roost-medallion")
     try:
         raw = raw_data(chosen).tables(spark) if chosen.generate else None
-        result = medallion.run(spark, paths, raw, chosen.ingest_date)
+        result = medallion.run(spark, paths, raw, chosen.ingest_date, chosen.gate)
         print(result.as_text())
         medallion.show_samples(spark, paths, result.marts, chosen.samples)
     finally:

@@ -66,12 +66,12 @@ class Marketplace:
         ``listing`` may hold ``listing_id`` and attributes of the listing. With
         ``via_booking`` the listing is the booking's even if the payment names one.
 
-        Where it saves rows at no further shuffle, payments are added up before a join:
-        a booking or listing with a huge share of them then brings one row per map task.
-        That does not hold in two cases. Listings that are broadcast need no shuffle at
-        all. And with ``by`` columns the sums would be shuffled by booking and ``by``, then
-        again by booking alone; there the join stands directly on its shuffles, where
-        Spark splits an oversized booking at run time.
+        The join to bookings stands directly on its two shuffles: there Spark sees the
+        real sizes, splits a booking with a huge share of the payments, and hashes or
+        broadcasts the smaller side if it fits. Sums per booking would save nothing,
+        a booking has few payments, and would take that choice away. Listings have many:
+        unless they are broadcast, payments are added up per listing first, so that one
+        with a huge share brings one row per map task.
         """
         attributes = [c for c in listing if c != "listing_id"]
         totals, parts = payments, (total_cents(), F.count(F.lit(1)))
@@ -81,11 +81,7 @@ class Marketplace:
 
         if via_booking or "listing_id" not in payments.columns:
             owner = self.bookings.select("booking_id", "listing_id")
-            if by:
-                totals = payments.select("booking_id", "amount", *by).join(owner, "booking_id")
-            else:
-                totals = add_up(payments, "booking_id").join(owner, "booking_id")
-                parts = F.sum("cents"), F.sum("n")
+            totals = payments.select("booking_id", "amount", *by).join(owner, "booking_id")
         if attributes:
             if not self.small_listings:
                 totals = add_up(totals, "listing_id", *by)

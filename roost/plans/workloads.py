@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roost.functions.money import dollars, total_cents
+from roost.functions.money import cents, dollars, total_cents
 from roost.operators import windows
 from roost.plans.marketplace import Marketplace
 
@@ -59,6 +59,11 @@ def _in_dollars(df: DataFrame, *keys: str, revenue: str = "revenue", **more: str
 def _revenue(lake: Marketplace, *, listing: tuple[str, ...] = (), month: bool = False) -> DataFrame:
     """Succeeded revenue as ``cents`` and its payments as ``n``, summary first."""
     by = ("txn_month",) if month else ()
+    if lake.summary is not None and month and listing == ("listing_id",):
+        # the summary's own grain: nothing to add up
+        return lake.summary.select(
+            *by, *listing, cents(F.col("revenue")).alias("cents"), F.col("txn_count").alias("n")
+        )
     if lake.summary is not None:
         return lake.summary.groupBy(*by, *listing).agg(
             total_cents("revenue").alias("cents"), F.sum("txn_count").alias("n")
@@ -103,18 +108,13 @@ def revenue_by_neighbourhood(lake):
 
 @_workload("q05_txn_booking_join", "Revenue of completed stays by nights, 30 days", "fact join")
 def revenue_by_nights(lake):
-    paid = (
-        _settled(lake.payments_in(lake.span(250, MONTH)))
-        .groupBy("booking_id")
-        .agg(total_cents().alias("cents"), _rows().alias("n"))
-    )
+    paid = _settled(lake.payments_in(lake.span(250, MONTH))).select("booking_id", "amount")
     stays = lake.bookings.where(F.col("status") == "completed").select("booking_id", "nights")
-    by_nights = (
+    return (
         paid.join(stays, "booking_id")
         .groupBy("nights")
-        .agg(F.sum("cents").alias("cents"), F.sum("n").alias("n"))
+        .agg(dollars(total_cents()).alias("revenue"), _rows().alias("n"))
     )
-    return _in_dollars(by_nights, "nights", n="n")
 
 
 @_workload("q06_three_way_join", "Revenue by room type through bookings, 90 days", "fact join")
@@ -245,13 +245,20 @@ def success_rate(lake):
 
 @_workload("q17_conversion", "Paid against booked per listing, 30 days", "fact join")
 def conversion(lake):
-    """Payments are counted per booking first; then one pass over the bookings is enough."""
-    paid = _settled(lake.payments).groupBy("booking_id").agg(_rows().alias("paid"))
+    """Bookings of the month are the small side of an inner join, free to be broadcast or
+    hashed; a left join from them to all payments would not allow that."""
     booked = lake.bookings_in(lake.span(350, MONTH)).select("booking_id", "listing_id")
-    return (
-        booked.join(paid, "booking_id", "left")
+    paid = (
+        _settled(lake.payments)
+        .select("booking_id")
+        .join(booked, "booking_id")
         .groupBy("listing_id")
-        .agg(_rows().alias("bookings"), F.sum("paid").alias("paid"))
+        .agg(_rows().alias("paid"))
+    )
+    return (
+        booked.groupBy("listing_id")
+        .agg(_rows().alias("bookings"))
+        .join(paid, "listing_id", "left")
         .withColumn("conversion", F.col("paid") / F.col("bookings"))
     )
 

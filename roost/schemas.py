@@ -45,3 +45,13 @@ MARTS = {
     "failed BIGINT, refunded BIGINT, settled_amount DOUBLE, success_rate DOUBLE",
 }
 MART_PARTITION = {"revenue_by_listing_month": "checkin_month STRING"}
+
+# Order of the rows of each mart; the last column settles ties.
+MART_ORDER = {
+    "reviews_per_listing": "num_reviews DESC, id",
+    "avg_rating_per_listing": "avg_rating DESC, num_reviews DESC, id",
+    "reviews_per_neighbourhood": "num_reviews DESC, neighbourhood",
+    "revenue_by_listing_month": "total_revenue DESC, id, checkin_month",
+    "booking_conversion": "total_bookings DESC, id",
+    "transaction_success_rates": "total_txns DESC, payment_method",
+}

@@ -8,10 +8,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Both apply to sizes measured while a query runs, never to estimates.
+_ADAPTIVE = {
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+}
+
+
 def build_session(app_name: str, **settings: str) -> SparkSession:
-    """Session with UTC dates. Master, memory and shuffle width belong to spark-submit."""
+    """Session with UTC dates, and hash joins where the measured side is small.
+
+    Master, memory and shuffle width belong to spark-submit.
+    """
     builder = SparkSession.builder.appName(app_name).config("spark.sql.session.timeZone", "UTC")
-    for key, value in settings.items():
+    for key, value in {**_ADAPTIVE, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
