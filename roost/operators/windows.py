@@ -63,7 +63,8 @@ def cumulative_share(df: DataFrame, value: str, tie_break: str) -> DataFrame:
             "_slice", F.spark_partition_id()
         )
     )
-    totals = slices.groupBy("_slice").agg(F.sum(F.col(value).cast("decimal(20,0)")).alias("_total"))
+    exact = F.col(value).cast("decimal(20,0)")
+    totals = slices.groupBy("_slice").agg(F.sum(exact).alias("_total"))
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
@@ -75,5 +76,5 @@ def cumulative_share(df: DataFrame, value: str, tie_break: str) -> DataFrame:
     )
     inside = Window.partitionBy("_slice").orderBy(F.desc(value), tie_break).rowsBetween(*_TO_HERE)
     return slices.join(F.broadcast(starts), "_slice").select(
-        *df.columns, (F.col("_before") + F.sum(value).over(inside)).alias("cum"), "grand"
+        *df.columns, (F.col("_before") + F.sum(exact).over(inside)).alias("cum"), "grand"
     )
