@@ -8,6 +8,7 @@ from roost.paths import LakePaths
 from roost.plans.analyst_sql import QUERIES
 from roost.schemas import CLEAN, CLEAN_PARTITION, MART_PARTITION, MARTS
 from roost.sources.raw import if_present
+from roost.sources.stored import read_clean, read_mart
 
 DATABASE = "stay_lake"
 
@@ -31,6 +32,13 @@ def declarations(paths: LakePaths, database: str = DATABASE) -> dict[str, str]:
     return {table: _declaration(table, *parts) for table, parts in (clean | marts).items()}
 
 
+def _stored(spark: SparkSession, paths: LakePaths, database: str) -> set[str]:
+    """Names of the tables that were written."""
+    reads = {f"{database}.silver_{d}": lambda d=d: read_clean(spark, paths, d) for d in CLEAN}
+    reads |= {f"{database}.gold_{m}": lambda m=m: read_mart(spark, paths, m) for m in MARTS}
+    return {table for table, read in reads.items() if if_present(read) is not None}
+
+
 def partitioned_tables(database: str = DATABASE) -> list[str]:
     silver = [f"{database}.silver_{d}" for d, partition in CLEAN_PARTITION.items() if partition]
     return silver + [f"{database}.gold_{m}" for m in MART_PARTITION]
@@ -42,15 +50,12 @@ def register(spark: SparkSession, paths: LakePaths, database: str = DATABASE) ->
     Partitions kept in the catalog let a query on one month plan without listing the rest.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    partitioned, registered = partitioned_tables(database), []
-    for table, statement in declarations(paths, database).items():
-        location = statement.rsplit("LOCATION ", 1)[1].strip("'")
-        if if_present(lambda: spark.read.parquet(location)) is None:
-            continue
-        spark.sql(statement)
+    stored, partitioned = _stored(spark, paths, database), partitioned_tables(database)
+    registered = [table for table in declarations(paths, database) if table in stored]
+    for table in registered:
+        spark.sql(declarations(paths, database)[table])
         if table in partitioned:
             refresh(spark, table)
-        registered.append(table)
     return registered
 
 

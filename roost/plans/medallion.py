@@ -15,7 +15,7 @@ from roost.plans import marts
 from roost.schemas import MART_ORDER
 from roost.sinks.tables import land, write_clean, write_mart
 from roost.sources.raw import count_landed, if_present, read_raw
-from roost.sources.stored import read_clean, read_clean_tables
+from roost.sources.stored import read_clean, read_clean_tables, read_mart
 
 
 @dataclass
@@ -129,7 +129,7 @@ def show_samples(spark: SparkSession, paths: LakePaths, names: Iterable[str], ro
     """Print the first rows of marts that were written, in their order."""
     for name in names:
         print(name)
-        mart = spark.read.parquet(paths.mart(name))
+        mart = read_mart(spark, paths, name)
         spark.sql(f"SELECT * FROM {{mart}} ORDER BY {MART_ORDER[name]}", mart=mart).show(
             rows, truncate=False
         )

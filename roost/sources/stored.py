@@ -9,11 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from roost.operators.sizes import is_small
 from roost.paths import DATASETS, LakePaths
 from roost.plans.marketplace import Marketplace
+from roost.schemas import CLEAN, CLEAN_PARTITION, MART_PARTITION, MARTS
 from roost.sources.raw import if_present
 
 
+def _read(spark: SparkSession, path: str, columns: str, partition: str | None) -> DataFrame:
+    """A table by its declared columns: no file is opened to learn them, and a table that
+    has no rows, hence no files, can be read as well."""
+    every = f"{columns}, {partition}" if partition else columns
+    return spark.read.schema(every).parquet(path)
+
+
 def read_clean(spark: SparkSession, paths: LakePaths, dataset: str) -> DataFrame:
-    return spark.read.parquet(paths.clean(dataset))
+    return _read(spark, paths.clean(dataset), CLEAN[dataset], CLEAN_PARTITION[dataset])
+
+
+def read_mart(spark: SparkSession, paths: LakePaths, name: str) -> DataFrame:
+    return _read(spark, paths.mart(name), MARTS[name], MART_PARTITION.get(name))
 
 
 def read_clean_tables(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
