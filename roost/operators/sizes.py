@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
+BROADCAST_LIMIT = 128 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's own estimate, from file sizes and column widths; runs no job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of the rows in memory: a word per column and row, and the text itself.
+
+    Measured by one aggregate over the given columns, not estimated from file sizes,
+    which compression makes meaningless.
+    """
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType == StringType()]
+    row = sum(texts, F.lit(8 * (len(df.columns) + 1)))
+    return df.agg(F.sum(row.cast("bigint"))).first()[0] or 0
 
 
 def is_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
-    return estimated_bytes(df) <= limit
+    return measured_bytes(df) <= limit

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from roost.functions.calendar import DayRange
 from roost.functions.money import total_cents
 from roost.operators.pruning import in_days
+from roost.operators.sizes import is_small
 
 
 @dataclass(frozen=True)
@@ -23,8 +25,8 @@ class Marketplace:
     listing is found through the booking, and only for queries that ask for it.
     ``summary`` is succeeded revenue per listing and month, if it was built.
     ``by_month`` says that the facts are partitioned by their month column.
-    ``small_listings`` says that the size of ``listings`` was checked and allows a
-    broadcast.
+    ``small_listings`` settles whether listings are broadcast; left open, their size is
+    measured when a workload first needs to know.
     """
 
     listings: DataFrame
@@ -34,7 +36,7 @@ class Marketplace:
     start: date
     summary: DataFrame | None = None
     by_month: bool = False
-    small_listings: bool = False
+    small_listings: bool | None = None
 
     def span(self, offset: int, length: int) -> DayRange:
         return DayRange.after(self.start, offset, length)
@@ -48,10 +50,16 @@ class Marketplace:
     def reviews_in(self, days: DayRange) -> DataFrame:
         return in_days(self.reviews, "review_date", days, "review_month" if self.by_month else None)
 
+    @cached_property
+    def broadcasts_listings(self) -> bool:
+        if self.small_listings is not None:
+            return self.small_listings
+        return is_small(self.listings.select("listing_id", "neighbourhood", "room_type"))
+
     def listing_facts(self, *attributes: str) -> DataFrame:
-        """Listing id and attributes, marked for broadcast only if the size was checked."""
+        """Listing id and attributes, marked for broadcast only if their size allows it."""
         picked = self.listings.select("listing_id", *attributes)
-        return F.broadcast(picked) if self.small_listings else picked
+        return F.broadcast(picked) if self.broadcasts_listings else picked
 
     def payment_totals(
         self,
@@ -83,7 +91,7 @@ class Marketplace:
             owner = self.bookings.select("booking_id", "listing_id")
             totals = payments.select("booking_id", "amount", *by).join(owner, "booking_id")
         if attributes:
-            if not self.small_listings:
+            if not self.broadcasts_listings:
                 totals = add_up(totals, "listing_id", *by)
                 parts = F.sum("cents"), F.sum("n")
             totals = totals.join(self.listing_facts(*attributes), "listing_id")

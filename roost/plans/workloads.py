@@ -128,7 +128,7 @@ def revenue_by_room_type(lake):
 def rating_by_neighbourhood(lake):
     stars, n = F.sum("rating"), _rows()
     reviews = lake.reviews_in(lake.span(150, MONTH))
-    if not lake.small_listings:
+    if not lake.broadcasts_listings:
         reviews = reviews.groupBy("listing_id").agg(stars.alias("stars"), n.alias("n"))
         stars, n = F.sum("stars"), F.sum("n")
     return (
@@ -186,7 +186,7 @@ def share_of_neighbourhood(lake):
     totals = per_listing.groupBy(F.col("neighbourhood").alias("_area")).agg(
         F.sum("cents").alias("all_cents")
     )
-    if lake.small_listings:
+    if lake.broadcasts_listings:
         totals = F.broadcast(totals)
     return (
         per_listing.join(totals, F.col("neighbourhood").eqNullSafe(F.col("_area")))

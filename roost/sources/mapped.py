@@ -12,7 +12,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roost.operators.sizes import is_small
 from roost.plans.marketplace import Marketplace
 
 START = date(1997, 1, 1)
@@ -58,9 +57,7 @@ def _review_day() -> Column:
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A nation table has a row per country, so it is broadcast by its checked size.
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    nation = F.broadcast(nation) if is_small(nation) else nation
     customers = _table(spark, sf_dir, "customer")
     return customers.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("id"),
@@ -118,15 +115,12 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def marketplace(spark: SparkSession, sf_dir: str) -> Marketplace:
-    # The estimate of a join multiplies its sides; the customers alone bound listings.
-    customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     return Marketplace(
         listings=listings(spark, sf_dir).withColumnRenamed("id", "listing_id"),
         bookings=bookings(spark, sf_dir),
         reviews=reviews(spark, sf_dir),
         payments=payments(spark, sf_dir),
         start=START,
-        small_listings=is_small(customers),
     )
 
 

@@ -6,7 +6,6 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roost.operators.sizes import is_small
 from roost.paths import DATASETS, LakePaths
 from roost.plans.marketplace import Marketplace
 from roost.schemas import CLEAN, CLEAN_PARTITION, MART_PARTITION, MARTS
@@ -37,14 +36,12 @@ def read_clean_tables(spark: SparkSession, paths: LakePaths) -> dict[str, DataFr
 def load_layout(spark: SparkSession, base: str, start: date, *, by_month: bool) -> Marketplace:
     """The tables of one layout; the plain one has no summary and no month partitions."""
     base = base.rstrip("/")
-    listings = spark.read.parquet(f"{base}/listings")
     return Marketplace(
-        listings=listings,
+        listings=spark.read.parquet(f"{base}/listings"),
         bookings=spark.read.parquet(f"{base}/bookings"),
         reviews=spark.read.parquet(f"{base}/reviews"),
         payments=spark.read.parquet(f"{base}/transactions"),
         start=start,
         summary=if_present(lambda: spark.read.parquet(f"{base}/summary")),
         by_month=by_month,
-        small_listings=is_small(listings),
     )

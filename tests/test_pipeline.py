@@ -203,10 +203,6 @@ def test_command_lines(spark, tmp_path, monkeypatch, capsys):
     """The jobs as a user starts them, in this session."""
     from roost.jobs import generate_raw, medallion as job, register_tables
 
-    class Kept:
-        def __getattr__(self, name):
-            return (lambda: None) if name == "stop" else getattr(spark, name)
-
     for module in (generate_raw, job, register_tables):
         monkeypatch.setattr(module, "build_session", lambda *_: spark)
     monkeypatch.setattr(type(spark), "stop", lambda self: None)

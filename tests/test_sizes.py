@@ -1,0 +1,30 @@
+"""Broadcasts rest on measured sizes."""
+
+from dataclasses import replace
+
+from roost.operators.sizes import is_small, measured_bytes
+from tests.marketplaces import small_marketplace
+
+
+def test_bytes_of_numbers_and_text(spark):
+    df = spark.createDataFrame([(1, "abcd"), (2, None), (3, "é")], "k BIGINT, t STRING")
+    assert measured_bytes(df) == 3 * 24 + 4 + 2
+    assert measured_bytes(df.limit(0)) == 0
+
+
+def test_limit(spark):
+    df = spark.range(1000)
+    assert is_small(df, 16_000) and not is_small(df, 15_999)
+
+
+def test_listings_are_measured_once_and_only_when_asked(spark, monkeypatch):
+    from roost.plans import marketplace
+
+    calls = []
+    monkeypatch.setattr(marketplace, "is_small", lambda df: calls.append(df.columns) or True)
+    lake = small_marketplace(spark)
+    lake.payments_in(lake.span(0, 1))
+    assert calls == []
+    assert lake.broadcasts_listings and lake.broadcasts_listings
+    assert calls == [["listing_id", "neighbourhood", "room_type"]]
+    assert not replace(lake, small_listings=False).broadcasts_listings

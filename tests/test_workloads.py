@@ -52,7 +52,7 @@ def test_large_listings_and_stored_listing_ids_change_nothing(lake, key):
 
 
 def test_mapped_listings_are_found_small(lake):
-    assert lake.small_listings
+    assert lake.broadcasts_listings
 
 
 def test_conversion_without_payment_is_null_and_may_exceed_one(spark):
