@@ -8,20 +8,26 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-# Both apply to sizes measured while a query runs, never to estimates.
-_ADAPTIVE = {
+# Hash and broadcast joins where a side, as measured while the query runs, is small.
+_MEASURED = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
+# Filter one fact by the keys of another before its shuffle. Collecting the keys reads
+# that side twice, which pays while it is small; a very large one would fill the filter.
+_KEY_FILTERS = {
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "64MB",
+}
 
 
 def build_session(app_name: str, **settings: str) -> SparkSession:
-    """Session with UTC dates, and hash joins where the measured side is small.
+    """Session with UTC dates and the join settings above.
 
     Master, memory and shuffle width belong to spark-submit.
     """
     builder = SparkSession.builder.appName(app_name).config("spark.sql.session.timeZone", "UTC")
-    for key, value in {**_ADAPTIVE, **settings}.items():
+    for key, value in {**_MEASURED, **_KEY_FILTERS, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
