@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from roost.paths import LakePaths
-from roost.schemas import CLEAN_PARTITION, MART_PARTITION
+from roost.schemas import CLEAN_PARTITION, MART_ORDER, MART_PARTITION
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -19,6 +19,10 @@ def _partition_name(declared: str | None) -> str | None:
     return declared.split()[0] if declared else None
 
 
+def _sort_key(text: str) -> Column:
+    return F.desc(text.removesuffix(" DESC")) if text.endswith(" DESC") else F.asc(text)
+
+
 def land(df: DataFrame, paths: LakePaths, dataset: str, ingest_date: str) -> int:
     """Store raw records unchanged as JSON lines under their ingest date.
 
@@ -56,8 +60,15 @@ def write_clean(df: DataFrame, paths: LakePaths, dataset: str) -> int:
 
 
 def write_mart(df: DataFrame, paths: LakePaths, name: str) -> int:
-    """Replace a mart as a whole, so that no month of an earlier run is left behind."""
+    """Replace a mart as a whole, so that no month of an earlier run is left behind.
+
+    A partitioned mart keeps its order inside each partition. Sorted as a whole, every
+    task would hold, and write a file for, every partition.
+    """
     partition = _partition_name(MART_PARTITION.get(name))
+    if partition is not None:
+        order = [_sort_key(part) for part in MART_ORDER[name].split(", ")]
+        df = df.hint("rebalance", partition).sortWithinPartitions(partition, *order)
     rows, observed = _counted(df)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition is not None:

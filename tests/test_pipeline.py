@@ -143,16 +143,28 @@ def test_failed_gate_writes_no_mart(spark, paths):
 
 def test_clean_write_keeps_other_partitions_and_mart_write_does_not(spark, paths):
     def bookings(*months):
-        return spark.createDataFrame([(i, m) for i, m in enumerate(months)], "booking_id INT, checkin_month STRING")
+        return spark.createDataFrame([(i, m) for i, m in enumerate(months)], "id INT, checkin_month STRING")
 
     assert write_clean(bookings("2024-01", "2024-02", "2024-02"), paths, "bookings") == 3
     assert write_clean(bookings("2024-02"), paths, "bookings") == 1
     assert read_clean(spark, paths, "bookings").count() == 2
     for months in (("2024-01", "2024-02"), ("2024-02",)):
-        assert write_mart(bookings(*months), paths, "revenue_by_listing_month") == len(months)
+        earned = bookings(*months).selectExpr("*", "1.0D AS total_revenue")
+        assert write_mart(earned, paths, "revenue_by_listing_month") == len(months)
     assert spark.read.parquet(paths.mart("revenue_by_listing_month")).count() == 1
 
 
+def test_months_of_a_mart_are_few_sorted_files(spark, lake):
+    import pyarrow.parquet as pq
+
+    paths, _ = lake
+    files = list(Path(paths.mart("revenue_by_listing_month")).rglob("*.parquet"))
+    assert len(files) == len({f.parent for f in files}) == 12
+    for file in files:
+        revenue = pq.ParquetFile(file).read(columns=["total_revenue"]).column(0).to_pylist()
+        assert revenue == sorted(revenue, reverse=True)
+
+
 def test_catalog_answers_like_the_files(spark, lake):
     from tests.conftest import plan_of
 

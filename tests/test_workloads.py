@@ -20,6 +20,8 @@ DUAL = [
     "q15_pareto_share",
     "q21_gold_preagg",
 ]
+# workloads that look up the listing of a payment or review
+OF_LISTINGS = ["q04", "q06", "q07", "q10", "q12", "q13", "q15", "q18", "q20", "q21"]
 
 
 def rows(df):
@@ -41,7 +43,7 @@ def test_summary_and_payments_agree(lake, key):
     assert rows(WORKLOADS[key].plan(with_summary)) == rows(WORKLOADS[key].plan(lake))
 
 
-@pytest.mark.parametrize("key", list(WORKLOADS))
+@pytest.mark.parametrize("key", [k for k in WORKLOADS if k[:3] in OF_LISTINGS])
 def test_large_listings_and_stored_listing_ids_change_nothing(lake, key):
     """Every way to the listing gives the same rows: through the booking or stored on the
     payment, broadcast or not."""
