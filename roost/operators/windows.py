@@ -1,8 +1,8 @@
 """Window calculations over totals.
 
-The functions that order a whole table (`running`, `trailing_average`,
-`change_from_previous`, `ranked`) are for tables with one row per month, day or
-neighbourhood. Listings are too many for one task: `cumulative_share` spreads them.
+The functions that order a whole table (`running`, `trailing_sum_and_rows`, `previous`,
+`ranked`) are for tables with one row per month, day or neighbourhood. Listings are too
+many for one task: `cumulative_share` spreads them.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roost.functions.money import cents, dollars, total_cents
+from roost.functions.money import cents, dollars
 
 
 def review_totals(reviews: DataFrame) -> DataFrame:
@@ -22,12 +22,16 @@ def review_totals(reviews: DataFrame) -> DataFrame:
     )
 
 
-def booking_totals(bookings: DataFrame) -> DataFrame:
-    """Per listing, month and status: enough for both booking marts."""
-    return bookings.groupBy("listing_id", "checkin_month", "status").agg(
-        F.count("booking_id").alias("_bookings"),
-        F.sum("nights").alias("_nights"),
-        total_cents().alias("_cents"),
+def booking_totals(bookings: DataFrame, *by: str) -> DataFrame:
+    """The booking funnel, and nights and cents of completed stays, per listing and ``by``."""
+    done = F.col("status") == "completed"
+    return bookings.groupBy("listing_id", *by).agg(
+        F.count("booking_id").alias("total_bookings"),
+        F.count_if(done).alias("completed"),
+        F.count_if(F.col("status") == "confirmed").alias("confirmed"),
+        F.count_if(F.col("status").isin("cancelled", "no_show")).alias("cancelled"),
+        F.sum(F.when(done, F.col("nights"))).alias("_nights"),
+        F.sum(F.when(done, cents(F.col("amount")))).alias("_cents"),
     )
 
 
@@ -76,35 +80,30 @@ def neighbourhood_reviews_of(listings, totals):
 
 
 def month_revenue_of(listings, totals):
-    monthly = (
-        totals.where(F.col("status") == "completed")
-        .groupBy("listing_id", "checkin_month")
-        .agg(
-            F.sum("_bookings").alias("num_bookings"),
-            F.sum("_nights").alias("total_nights"),
-            dollars(F.sum("_cents")).alias("total_revenue"),
-        )
-    )
+    """From totals per listing and month."""
     return (
-        _of_listings(listings, monthly, "name", "neighbourhood")
-        .drop("listing_id")
+        _of_listings(listings, totals.where("completed > 0"), "name", "neighbourhood")
+        .select(
+            "id",
+            "name",
+            "neighbourhood",
+            "checkin_month",
+            F.col("completed").alias("num_bookings"),
+            F.col("_nights").alias("total_nights"),
+            dollars(F.col("_cents")).alias("total_revenue"),
+        )
         .orderBy(F.desc("total_revenue"), "id", "checkin_month")
     )
 
 
 def conversion_of(listings, totals):
-    def booked(*statuses: str) -> Column:
-        return F.sum(F.when(F.col("status").isin(*statuses), F.col("_bookings")).otherwise(0))
-
-    funnel = totals.groupBy("listing_id").agg(
-        F.sum("_bookings").alias("total_bookings"),
-        booked("completed").alias("completed"),
-        booked("confirmed").alias("confirmed"),
-        booked("cancelled", "no_show").alias("cancelled"),
-    )
+    """From totals per listing, or per listing and month."""
+    funnel = ("total_bookings", "completed", "confirmed", "cancelled")
+    if "checkin_month" in totals.columns:
+        totals = totals.groupBy("listing_id").agg(*[F.sum(c).alias(c) for c in funnel])
     return (
-        _of_listings(listings, funnel, "name")
-        .drop("listing_id")
+        _of_listings(listings, totals, "name")
+        .select("id", "name", *funnel)
         .withColumn("conversion_rate", _share(F.col("completed") + F.col("confirmed"), "total_bookings"))
         .withColumn("cancellation_rate", _share(F.col("cancelled"), "total_bookings"))
         .orderBy(F.desc("total_bookings"), "id")
@@ -128,7 +127,8 @@ def reviews_per_neighbourhood(listings: DataFrame, reviews: DataFrame) -> DataFr
 
 def revenue_by_listing_month(listings: DataFrame, bookings: DataFrame) -> DataFrame:
     """Completed bookings, nights and revenue per listing and check-in month."""
-    return month_revenue_of(listings, booking_totals(bookings))
+    completed = bookings.where(F.col("status") == "completed")
+    return month_revenue_of(listings, booking_totals(completed, "checkin_month"))
 
 
 def booking_conversion(listings: DataFrame, bookings: DataFrame) -> DataFrame:

@@ -94,7 +94,7 @@ def publish_all(spark: SparkSession, paths: LakePaths) -> dict[str, int]:
     )
     if "bookings" in tables:
         publish(
-            marts.booking_totals(tables["bookings"]),
+            marts.booking_totals(tables["bookings"], "checkin_month"),
             revenue_by_listing_month=marts.month_revenue_of,
             booking_conversion=marts.conversion_of,
         )

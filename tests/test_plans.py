@@ -97,6 +97,13 @@ def test_marts_move_totals_not_names(spark):
     assert plan.index("Join") < plan.index("partial_count")
 
 
+def test_booking_marts_shuffle_the_facts_once(spark, setting):
+    setting(**{"spark.sql.autoBroadcastJoinThreshold": "10MB"})
+    listings, bookings = mapped.listings(spark, SMALL), mapped.bookings(spark, SMALL)
+    for mart in (marts.revenue_by_listing_month, marts.booking_conversion):
+        assert plan_of(mart(listings, bookings)).count("Exchange hashpartitioning") == 1
+
+
 def test_hot_booking_is_split(spark, setting, tmp_path):
     """A third of all payments belong to one booking; Spark splits it at run time."""
     rows = 90_000
