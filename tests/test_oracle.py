@@ -27,4 +27,5 @@ def test_entry_runs(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).columns == ["room_type", "revenue"]
-    assert __spark_entry__.queries().keys() == __spark_entry__.oracle_sql().keys()
+    assert REGISTRY.keys() <= __spark_entry__.queries().keys()
+    assert REGISTRY.keys() <= __spark_entry__.oracle_sql().keys() <= __spark_entry__.queries().keys()
