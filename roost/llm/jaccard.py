@@ -8,13 +8,15 @@ the sets share at least ``PERCENT`` percent of their union.
    ``min(l(x), l(y))`` tokens among the first ``n - ceil(0.8 n) + l`` of each, where ``l``
    is a twentieth of the size. Only these leading tokens are shuffled, and only tokens
    found twice are kept. A document with too few of them is linked with nothing.
-3. Similar documents (same least hash) are partitioned into groups of bounded size. Inside
-   a group all links are found; documents linked there become one *group* of step 4.
-4. The token-group matrix holds the leading tokens of each group, large groups in blocks of
-   ``BLOCK`` tokens. A query document is sent to a block of another group only if enough of
-   its leading tokens are there; there, its overlap with the union of the whole sets is
+3. Similar documents are partitioned: each has ``SIGNS`` least hashes, and goes with those
+   that share the one most common among all. Parts are of bounded size. Inside a part all
+   links are found; documents linked there are one *cluster*.
+4. The groups of the token-group matrix are the large clusters, and of each part the rest.
+   It holds the leading tokens of each group, in blocks of ``BLOCK`` tokens. A document
+   asks a block of another group, the smaller group the larger, only if enough of its
+   leading tokens are there; there, its overlap with the union of the whole sets is
    counted, and only if that reaches 80 percent of its size are members opened.
-5. Components of the groups give the component of each document.
+5. Components of the clusters give the component of each document.
 
 Every bound is one that linked documents must meet, so no link is lost. Links inside a
 group need no pair of rows. Tokens are 64-bit hashes of the words.
@@ -39,9 +41,12 @@ from roost.llm.words import mix, shingle_set
 
 PERCENT = 80
 BLOCK = 150_000  # tokens of the documents that are compared with each other in one group
+SIGNS = 4
+LARGE = 16  # documents of a cluster that is a group of its own
 FREQUENT = 65_536  # tokens whose frequency decides their order; others count as rare
 _CHUNK = 4_000_000  # tokens counted at a time
 _MEMBER, _QUERY = 0, 1
+_SEEDS = mix(np.arange(1, SIGNS + 1, dtype=np.uint64))
 _SEEN = 8  # times a token is found in a chunk before it is reported
 
 
@@ -92,7 +97,7 @@ def _first_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _leading(frequent: np.ndarray, counts: np.ndarray):
-    """Second pass: the leading tokens of each document, rare first, and its least hash."""
+    """Second pass: the leading tokens of each document, rare first, and its signs."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -115,11 +120,11 @@ def _leading(frequent: np.ndarray, counts: np.ndarray):
                         n,
                         int(_signed(mixed.sum(dtype=np.uint64, keepdims=True))[0]),
                         int(_signed(other.sum(dtype=np.uint64, keepdims=True))[0]),
-                        int(_signed(other.min(keepdims=True))[0]),
+                        [int(_signed(mix(tokens ^ seed).min(keepdims=True))[0]) for seed in _SEEDS],
                         _signed(tokens[first]),
                     )
                 )
-            frame = pd.DataFrame(rows, columns=["doc_id", "n", "k1", "k2", "least", "leading"])
+            frame = pd.DataFrame(rows, columns=["doc_id", "n", "k1", "k2", "signs", "leading"])
             yield frame.astype({"doc_id": "Int64"})
 
     return run
@@ -174,8 +179,8 @@ def _runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataF
 
 
 def _link_inside(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The least linked node of each node, links of the whole group followed."""
-    for rows in _runs(batches, ["least", "part"]):
+    """The least node linked to each node, links of the whole part followed."""
+    for rows in _runs(batches, ["sign", "part"]):
         nodes = rows["node"].to_numpy()
         sets = [np.frombuffer(t, np.uint64) for t in rows["tokens"]]
         block, root = _Block(sets), np.arange(len(nodes))
@@ -195,20 +200,29 @@ def _link_inside(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             root[b] = a
                         else:
                             root[a] = b
-        yield pd.DataFrame({"node": nodes, "grp": [nodes[find(i)] for i in range(len(nodes))]})
+        yield pd.DataFrame(
+            {
+                "sign": rows["sign"].to_numpy(),
+                "part": rows["part"].to_numpy(),
+                "node": nodes,
+                "cluster": [nodes[find(i)] for i in range(len(nodes))],
+            }
+        )
 
 
 def _open_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Links between groups: rows of a block are its members, then its queries."""
-    for rows in _runs(batches, ["grp", "block", "salt"]):
+    """Links between clusters: rows of a block are its members, then its queries."""
+    for rows in _runs(batches, ["mixed", "unit", "block", "salt"]):
         sets = [np.frombuffer(t, np.uint64) for t in rows["tokens"]]
+        clusters = rows["cluster"].to_numpy()
         members = np.count_nonzero(rows["role"] == _MEMBER)
         if not members or members == len(sets):
             continue
-        block = _Block(sets[:members])
-        found = {int(a) for a, s in zip(rows["asks"].iloc[members:], sets[members:]) if len(block.linked(s))}
+        block, found = _Block(sets[:members]), set()
+        for own, tokens in zip(clusters[members:], sets[members:]):
+            found.update((own, other) for other in np.unique(clusters[block.linked(tokens)]))
         if found:
-            yield pd.DataFrame({"a": sorted(found), "b": int(rows["grp"].iloc[0])})
+            yield pd.DataFrame(sorted(found), columns=["a", "b"])
 
 
 def _parts(total: Column) -> Column:
@@ -220,10 +234,23 @@ def _salt(node: Column, parts: Column) -> Column:
 
 
 def _between(shared: DataFrame, sets: DataFrame, placed: DataFrame) -> DataFrame:
-    """Edges (a, b) between groups that hold a linked pair."""
-    sizes = placed.groupBy("grp").agg(F.sum("n").alias("grp_n"))
-    placed = placed.join(sizes, "grp").withColumn("block", _salt(F.col("node"), _parts(F.col("grp_n"))))
-    placed = keep(placed.withColumn("rank", F.struct("grp_n", "grp")), "placed")
+    """Edges (a, b) between clusters that hold a linked pair.
+
+    ``placed`` has node, n, cluster, and sign and part where similar documents were found.
+    """
+    many = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("many"))
+    mixed = (F.col("many") < LARGE) & F.col("part").isNotNull()
+    placed = placed.join(many, "cluster").select(
+        "node",
+        "n",
+        "cluster",
+        mixed.cast("int").alias("mixed"),
+        F.when(mixed, F.xxhash64("sign", "part")).otherwise(F.col("cluster")).alias("unit"),
+    )
+    sizes = placed.groupBy("mixed", "unit").agg(F.sum("n").alias("unit_n"))
+    placed = placed.join(sizes, ["mixed", "unit"])
+    placed = placed.withColumn("block", _salt(F.col("node"), _parts(F.col("unit_n"))))
+    placed = keep(placed.withColumn("rank", F.struct("unit_n", "mixed", "unit")), "placed")
     token = Window.partitionBy("token")
     rows = (
         shared.join(placed, "node")
@@ -232,39 +259,39 @@ def _between(shared: DataFrame, sets: DataFrame, placed: DataFrame) -> DataFrame
         .filter("low <> top")
         .drop("low")
     )
-    rows = keep(rows, "matrix")
+    rows = keep(rows.select("token", "node", "n", "cluster", "rank", "top", "block"), "matrix")
     # The smaller of two groups asks the larger one.
-    queries = rows.filter("rank <> top").select("token", "node", "n", F.col("rank").alias("own"))
+    queries = rows.filter("rank <> top").select("token", "node", "n", "cluster", F.col("rank").alias("own"))
     matrix = rows.groupBy("token", "rank", "block").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
     pairs = (
         queries.join(matrix, "token")
         .filter((F.col("own") < F.col("rank")) & (F.col("most_n") * 100 >= F.col("n") * PERCENT))
         .filter(F.col("least_n") * PERCENT <= F.col("n") * 100)
-        .groupBy("node", "n", "own", "rank", "block")
+        .groupBy("node", "n", "cluster", "rank", "block")
         .agg(F.count(F.lit(1)).alias("common"))
         .filter(F.col("common") >= _needed(F.col("n")))
-        .select("node", "n", F.col("own.grp").alias("asks"), F.col("rank.grp").alias("grp"), "block")
+        .select("node", "n", "cluster", "rank.mixed", "rank.unit", "block")
     )
     pairs = keep(pairs, "pairs")
-    asked = pairs.groupBy("grp", "block").agg(_parts(F.sum("n")).alias("parts"))
-    asked = keep(asked, "asked")
+    where = ["mixed", "unit", "block"]
+    asked = keep(pairs.groupBy(*where).agg(_parts(F.sum("n")).alias("parts")), "asked")
     asking = (
-        pairs.join(asked, ["grp", "block"])
+        pairs.join(asked, where)
         .withColumn("salt", _salt(F.col("node"), F.col("parts")))
         .join(sets.select("node", "tokens"), "node")
-        .select("grp", "block", "salt", F.lit(_QUERY).alias("role"), "asks", "tokens")
+        .select(*where, "salt", F.lit(_QUERY).alias("role"), "cluster", "tokens")
     )
     members = (
-        placed.select("node", "grp", "block")
-        .join(asked, ["grp", "block"])
+        placed.select("node", "cluster", *where)
+        .join(asked, where)
         .join(sets.select("node", "tokens"), "node")
         .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
-        .select("grp", "block", "salt", F.lit(_MEMBER).alias("role"), F.col("grp").alias("asks"), "tokens")
+        .select(*where, "salt", F.lit(_MEMBER).alias("role"), "cluster", "tokens")
     )
     return (
         members.unionByName(asking)
-        .repartition("grp", "block", "salt")
-        .sortWithinPartitions("grp", "block", "salt", "role")
+        .repartition(*where, "salt")
+        .sortWithinPartitions(*where, "salt", "role")
         .mapInPandas(_open_groups, "a bigint, b bigint")
     )
 
@@ -293,13 +320,13 @@ def near_copies(docs: DataFrame) -> DataFrame:
 
     classes = (
         docs.mapInPandas(
-            leading, "doc_id bigint, n bigint, k1 bigint, k2 bigint, least bigint, leading array<bigint>"
+            leading, "doc_id bigint, n bigint, k1 bigint, k2 bigint, signs array<bigint>, leading array<bigint>"
         )
         .groupBy("k1", "k2")
         .agg(
             F.min("doc_id").alias("node"),
             F.first("n").alias("n"),
-            F.first("least").alias("least"),
+            F.first("signs").alias("signs"),
             F.first("leading").alias("leading"),
         )
     )
@@ -314,27 +341,36 @@ def near_copies(docs: DataFrame) -> DataFrame:
 
     sets = docs.join(active, docs["doc_id"] == active["node"]).select("node", "text")
     sets = keep(sets.mapInPandas(_sets, "node bigint, n bigint, tokens binary"), "sets")
-    similar = sets.select("node", "n").join(classes.select("node", "least"), "node")
-    parts = similar.groupBy("least").agg(F.count(F.lit(1)).alias("many"), _parts(F.sum("n")).alias("parts"))
-    similar = similar.join(parts.filter("many > 1"), "least").select(
-        "node", "least", _salt(F.col("node"), F.col("parts")).alias("part")
+    signs = sets.select("node", "n").join(classes.select("node", "signs"), "node")
+    signs = signs.select("node", "n", F.posexplode("signs").alias("k", "value"))
+    common = signs.groupBy("k", "value").agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
+    best = signs.join(common, ["k", "value"]).groupBy("node").agg(
+        F.max("n").alias("n"), F.max(F.struct("many", "k", "value")).alias("best")
+    )
+    best = keep(best.select("node", "n", F.xxhash64("best.k", "best.value").alias("sign")), "signs")
+    parts = best.groupBy("sign").agg(F.count(F.lit(1)).alias("many"), _parts(F.sum("n")).alias("parts"))
+    similar = best.join(parts.filter("many > 1"), "sign").select(
+        "node", "sign", _salt(F.col("node"), F.col("parts")).alias("part")
     )
     inside = keep(
         sets.join(similar, "node")
-        .select("least", "part", "node", "tokens")
-        .repartition("least", "part")
-        .sortWithinPartitions("least", "part")
-        .mapInPandas(_link_inside, "node bigint, grp bigint"),
+        .select("sign", "part", "node", "tokens")
+        .repartition("sign", "part")
+        .sortWithinPartitions("sign", "part")
+        .mapInPandas(_link_inside, "sign bigint, part bigint, node bigint, cluster bigint"),
         "inside",
     )
-    inside = inside.groupBy("node").agg(F.min("grp").alias("grp"))
+    inside = inside.groupBy("node").agg(
+        F.min("cluster").alias("cluster"), F.max("sign").alias("sign"), F.max("part").alias("part")
+    )
     placed = sets.groupBy("node").agg(F.max("n").alias("n")).join(inside, "node", "left")
-    placed = keep(placed.select("node", "n", F.coalesce("grp", "node").alias("grp")), "grouped")
+    placed = placed.select("node", "n", F.coalesce("cluster", "node").alias("cluster"), "sign", "part")
+    placed = keep(placed, "clusters")
 
     roots = components(_between(shared, sets, placed))
     found = (
-        placed.join(roots.withColumnRenamed("id", "grp"), "grp", "left")
-        .select("node", F.coalesce("root", "grp").alias("root"))
+        placed.join(roots.withColumnRenamed("id", "cluster"), "cluster", "left")
+        .select("node", F.coalesce("root", "cluster").alias("root"))
         .filter("root < node")
     )
     named = classes.select("k1", "k2", "node").join(found, "node", "left")

@@ -29,6 +29,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roost.llm.store import keep
+
 # In the order of the contract; later kinds are found by candidates only.
 KINDS = ("email", "ip", "card", "phone", "id", "secret")
 
@@ -280,7 +282,9 @@ def _fitted(rows: list[tuple[tuple[int, ...], float, int]]) -> tuple[float, dict
 def train(docs: DataFrame) -> SpanModel | None:
     """Fit the span classifier on the candidates of all documents; None without any."""
     df = docs.select(F.coalesce("text", F.lit("")).alias("body")).filter(F.col("body").rlike(_MAY_CANDIDATE))
-    rows = _with_candidates(_with_base(df)).select(F.explode("more").alias("c")).select("c.*")
+    # Written first: what explode() asks of the array would be computed below every step of it.
+    found = keep(_with_candidates(_with_base(df)).select("more"), "candidates")
+    rows = found.select(F.explode("more").alias("c")).select("c.*")
     counted = rows.groupBy(*_VOTES, *_FEATURES).agg(F.count(F.lit(1)).alias("n")).collect()
     if not counted:
         return None

@@ -184,4 +184,7 @@ def clean_documents(
     columns["text"] = F.col("clean_text")
     if "n_chars" in columns:
         columns["n_chars"] = F.length("clean_text").cast(docs.schema["n_chars"].dataType)
-    return judged.filter("kept").select(*[column.alias(c) for c, column in columns.items()])
+    # A filter on "kept" alone would be moved below the columns it is made of, each of which
+    # would then be computed once for every use.
+    judged = judged.withColumn("at", F.monotonically_increasing_id())
+    return judged.filter(F.col("kept") & (F.col("at") >= 0)).select(*[column.alias(c) for c, column in columns.items()])
