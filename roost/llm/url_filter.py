@@ -29,6 +29,7 @@ from roost.llm.svm import fit_logistic, sigmoid
 
 BUCKETS = 1 << 15
 GRAMS = (3, 4, 5)
+PRIOR = 0.2  # share of addresses expected to be blocked; the labelled table holds as many of each
 
 
 @dataclass(frozen=True)
@@ -124,7 +125,9 @@ def train(blocked: Sequence[str] = BLOCKED, ordinary: Sequence[str] = ORDINARY,
         host, slash, path = address.partition("/")
         grams = address_grams(host, slash + path)
         x[row, grams] = 1 / np.sqrt(len(grams))
-    return fit_logistic(x * 8, np.repeat([1.0, 0.0], [len(blocked), len(ordinary)]), penalty).astype(np.float32)
+    weights = fit_logistic(x * 8, np.repeat([1.0, 0.0], [len(blocked), len(ordinary)]), penalty)
+    weights[-1] += np.log(PRIOR / (1 - PRIOR)) - np.log(len(blocked) / len(ordinary))
+    return weights.astype(np.float32)
 
 
 def probability(weights: np.ndarray, host: str, path: str) -> float:

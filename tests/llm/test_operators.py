@@ -1,0 +1,346 @@
+"""Operators on training data against brute force, on small and on awkward tables."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from checks.compare import connect, difference
+from roost.llm import (
+    fingerprints,
+    jaccard,
+    language,
+    mixing,
+    packing,
+    pii,
+    quality,
+    token_counts,
+    toxicity,
+    url_filter,
+)
+from roost.llm.oracle import ORACLE
+from roost.llm.queries import QUERIES, RULES
+from tests.conftest import SMALL
+
+TINY = "/root/testdata/sf0.001"
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, words int, row string"
+
+
+def words(rng, n, pool=400):
+    return " ".join(f"w{rng.randrange(pool)}" for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    """Nulls in every column, empty and long texts, repeated rows, ties, clashing columns."""
+    rng = random.Random(1)
+    long = words(rng, 30_000, 5000)
+    texts = [None, "", " \n\t ", "one two", "one two", long, long + " tail", "é" * 9, "1" * 5000, "a" * 70]
+    texts += [words(rng, 40) for _ in range(8)]
+    rows = [(i, t, "en" if i % 2 else None, f"s{i % 3}" if i % 4 else None, len(t or ""), 1, "x") for i, t in enumerate(texts)]
+    rows += [rows[3], rows[12], (None, "no id here", None, None, None, None, None), (None, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def shingles(text):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+
+def components_of(rows):
+    sets = {i: shingles(t) for i, t in rows}
+    root, holders = {i: i for i in sets}, defaultdict(list)
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sorted(sets):
+        shared = Counter(j for s in sets[i] for j in holders[s])
+        for j, n in shared.items():
+            if 100 * n >= 80 * (len(sets[i]) + len(sets[j]) - n):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+        for s in sets[i]:
+            holders[s].append(i)
+    return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+def near_copies_of(df):
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_copies(df).collect()}
+
+
+def test_near_copies(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert near_copies_of(docs) == components_of(rows)
+
+
+def test_a_large_group_of_edited_copies(spark, monkeypatch):
+    """Links of every strength around the bound, groups cut into small blocks."""
+    monkeypatch.setattr(jaccard, "BLOCK", 2000)
+    rng, rows = random.Random(2), []
+    base = words(rng, 100, 10**6).split()
+    for i in range(400):
+        w = list(base)
+        for _ in range(rng.randrange(8)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+        rows.append((i - 200, " ".join(w)))
+    rows += [(i + 1000, words(rng, rng.randrange(3, 60), 50)) for i in range(100)]
+    assert near_copies_of(spark.createDataFrame(rows, "doc_id bigint, text string")) == components_of(rows)
+
+
+def test_one_of_each_group_stays(awkward, empty):
+    kept = jaccard.first_of_each_group(awkward)
+    assert kept.columns == awkward.columns
+    ids = Counter(r.doc_id for r in kept.collect())
+    assert ids[3] == 1 and ids[4] == 0 and ids[5] == 1 and ids[6] == 0 and ids[12] == 1 and ids[None] == 2
+    assert jaccard.first_of_each_group(empty).count() == 0
+
+
+def test_quality_matches_sql(spark, awkward):
+    sql = connect(SMALL)
+    assert difference(QUERIES["op5_quality_rules"](spark, SMALL), sql, ORACLE["op5_quality_rules"]) is None
+    sql.execute("DROP VIEW documents")
+    sql.register("documents", awkward.toPandas())
+    report = quality.quality_report(awkward).drop("clean_text")
+    assert difference(report, sql, ORACLE["op5_quality_rules"]) is None
+
+
+def test_cleaning_drops_lines_and_documents(spark, empty):
+    good = "This is a plain line with some ten different words inside."
+    other = "Another sentence follows, and it shares nothing much."
+    text = f"{good}\nHome | News | About | Contact\n{other}"
+    docs = spark.createDataFrame([(1, text), (2, "a | b | c | d\n" * 9), (3, good)], "doc_id int, text string")
+    kept = {r.doc_id: r.text for r in quality.clean_documents(docs).collect()}
+    assert kept == {1: text.replace("Home | News | About | Contact\n", ""), 3: good}
+    assert quality.clean_documents(empty).columns == empty.columns
+
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def valid(kind, hit):
+    d = [int(c) for c in hit if c.isdigit()]
+    if kind == "ip":
+        return all(int(p) <= 255 for p in hit.split("."))
+    if kind == "phone":
+        return 9 <= len(d) <= 15
+    d = d[::-1]
+    luhn = (sum(d[0::2]) + sum(sum(divmod(2 * x, 10)) for x in d[1::2])) % 10 == 0
+    return kind == "email" or 12 <= len(d) <= 19 and luhn
+
+
+def base_spans(text):
+    order = list(BASE)
+    found = sorted(
+        (m.start(), order.index(k), m.end())
+        for k, p in BASE.items()
+        for m in re.finditer(p, text or "")
+        if valid(k, m[0])
+    )
+    return ",".join(f"{order[k]}:{a}:{b}" for a, k, b in found)
+
+
+def test_personal_data_base(spark, awkward):
+    nasty = [
+        "a@b.c@d.e x_a@b.co_x@d.ef ..@-.-.- é@a.b a@b..c",
+        "1.2.3.4.5.6.7.8 999.1.2.3 01.002.0003.255 1.2.3 ü1.2.3.4",
+        "4111 1111-1111 1111 4111111111111111 41111111111111112 0000-0000-0000",
+        "+1 (555) 010-9999 +123456789+987654321 4111111111111111 +1 " + "2" * 20,
+        "1 " * 3000 + "x@y.z",
+        ("9.9.9.9 " * 1200) + "tail",
+    ]
+    docs = awkward.select("doc_id", "text").unionByName(
+        spark.createDataFrame(list(enumerate(nasty, 100)), "doc_id bigint, text string")
+    )
+    texts = {r.doc_id: r.text for r in docs.filter("doc_id is not null").collect()}
+    for r in pii.find_personal_data(docs, pii.train(docs)).filter("doc_id is not null").collect():
+        want = base_spans(texts[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest(), r.doc_id
+        assert set(filter(None, want.split(","))) <= set(r.spans.split(","))
+
+
+def test_redaction(spark, empty):
+    rows = [(1, "Mail é to jo.doe@mail.example.com or +1 (555) 010-9999 now", 1), (2, "clean", 5), (3, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, n_chars int")
+    found = {r.doc_id: (r.text, r.n_chars) for r in pii.redact_documents(docs).collect()}
+    assert found[1][0] == "Mail é to [EMAIL] or [PHONE] now" and found[1][1] == len(found[1][0])
+    assert found[2] == ("clean", 5) and found[3] == (None, None)
+    assert pii.redact_documents(empty).columns == empty.columns
+
+
+def test_mixture(spark, awkward, empty):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = mixing.mixture(docs).join(docs.select("doc_id", "source"), "doc_id").collect()
+    sizes, taken, target, largest = Counter(), Counter(), {}, 0
+    for r in rows:
+        sizes[r.source] += r.size
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        largest = max(largest, r.size)
+        assert r.taken <= 3 * r.size and r.source_size > 0
+        assert all(0 <= p <= 1 for p in r.positions) and len(r.positions) * r.size == r.taken
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(sizes))}
+    open_, level, total = set(sizes), 0, sum(sizes.values())
+    while True:
+        level = (total - sum(3 * sizes[s] for s in sizes if s not in open_)) / sum(weight[s] for s in open_)
+        above = {s for s in open_ if weight[s] * level > 3 * sizes[s]}
+        if not above:
+            break
+        open_ -= above
+    for s in sizes:
+        assert target[s] == pytest.approx(weight[s] * level if s in open_ else 3 * sizes[s])
+        assert abs(taken[s] - target[s]) <= largest
+    mixed = mixing.mix_documents(awkward)
+    assert mixed.columns == awkward.columns
+    words_out = mixed.select(F.sum(F.size(F.split(F.trim("text"), r"\s+")))).first()[0]
+    assert words_out == mixing.mixture(awkward).agg(F.sum("taken")).first()[0]
+    assert mixing.mix_documents(empty).count() == mixing.mixture(empty).count() == 0
+
+
+def test_targets_reshare_the_excess(spark):
+    sizes = spark.createDataFrame([("a", 10), ("b", 100), (None, 100)], "source string, size bigint")
+    found = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
+    assert found == {"a": 30.0, "b": 120.0, None: 60.0}
+
+
+def test_packing(awkward, empty):
+    placed = packing.pack_documents(awkward).toPandas()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+    for r in awkward.filter("doc_id is not null").collect():
+        ids = [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 0]
+        own = placed[placed.doc_id == r.doc_id]
+        for k, at in enumerate(range(0, len(ids), 2048)):
+            part = np.array(ids[at : at + 2048], "<u4")
+            found = own[own.piece == k].iloc[0]
+            assert (found.start, found.length) == (at, len(part))
+            assert found.ids_crc32 == zlib.crc32(part.tobytes())
+    rows = placed.sort_values(["sequence_id", "offset"])
+    for _, group in rows.groupby("sequence_id"):
+        ends = (group.offset + group.length).tolist()
+        assert group.offset.tolist() == [0, *ends[:-1]] and ends[-1] <= 2048
+    assert rows.sequence_id.nunique() <= -(-rows.length.sum() // 2048) + 1
+    assert packing.pack_documents(empty).count() == 0
+
+
+def test_best_fit_is_the_tightest():
+    rng = np.random.default_rng(3)
+    lengths = np.sort(rng.integers(1, 100, 500))[::-1]
+    sequences, offsets = packing.best_fit(lengths, 100)
+    rooms = {}
+    for length, sequence, offset in zip(lengths, sequences, offsets):
+        fits = [room for room in rooms.values() if room >= length]
+        assert 100 - offset == (min(fits) if fits else 100)
+        rooms[sequence] = 100 - offset - length
+
+
+def test_fingerprints(spark, awkward, empty):
+    docs = spark.read.parquet(f"{TINY}/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    order = sorted(texts)
+    near = []
+    for r in fingerprints.fingerprints(docs).collect():
+        text, after = texts[r.doc_id], texts[order[(order.index(r.doc_id) + 1) % len(order)]]
+        n = len(text)
+        edited = text[: n - n // 4] + after[: n // 4]
+        assert r.n_chars == n and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        own, other, following = map(fingerprints.Tree, (text, edited, after))
+        assert (r.fingerprint, r.edited_fingerprint) == (own.fingerprint(), other.fingerprint())
+        assert r.near_edited == fingerprints.likeness(own.leaves, other.leaves)
+        assert r.near_next == fingerprints.likeness(own.leaves, following.leaves)
+        assert (fingerprints.leaves_of(r.fingerprint) == own.leaves).all()
+        near.append(r.near_edited)
+    assert np.median(near) > 0.65
+    assert fingerprints.fingerprints(awkward).count() == awkward.count()
+    assert fingerprints.fingerprints(empty).count() == 0
+
+
+def test_an_edit_is_located():
+    lines = [f"line {i} says {i * i} things about the matter at hand\n" for i in range(60)]
+    old = fingerprints.Tree("".join(lines)).fingerprint()
+    lines[40] = "something else\n"
+    new = fingerprints.Tree("".join(lines)).fingerprint()
+    assert len(fingerprints.edited_places(old, new)) == 1 and fingerprints.edited_places(old, old) == []
+
+
+def test_urls(spark):
+    cases = {
+        "https://A.Example.ORG/es/1?x": ("a.example.org", "/es/1", "example.org/es/", "block"),
+        "http://example.org/en/12#t": ("example.org", "/en/12", "example.org/en/1", "block"),
+        "http://x.org": ("x.org", "", None, "allow"),
+        "http://notexample.org/es/": ("notexample.org", "/es/", "org/", "allow"),
+        "http://www.casino-win.example.com/en/1": ("www.casino-win.example.com", "/en/1", None, "block"),
+        "http://www.casino-win.example.com/fr/1": ("www.casino-win.example.com", "/fr/1", "com/fr/", "allow"),
+        "no address": ("", "", None, "allow"),
+        None: ("", "", None, "allow"),
+        "http://": ("", "", None, "allow"),
+    }
+    pages = spark.createDataFrame([(i, u, None) for i, u in enumerate(cases)], "page_id int, url string, host string")
+    rows = url_filter.judge(pages, RULES, url_filter.train()).orderBy("page_id").collect()
+    assert [(r.host, r.path, r.rule, r.verdict) for r in rows] == list(cases.values())
+
+
+def test_languages(spark, awkward, empty):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = QUERIES["op9_language"](spark, SMALL).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in rows if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    assert sum(r.lang == r.lang_pred for r in held) > 0.97 * len(held)
+    model = language.train(docs)
+    found = language.identify(awkward, model, F.lit(False)).collect()
+    assert len(found) == awkward.count()
+    by_id = {r.doc_id: (r.lang_pred, r.score) for r in found}
+    assert by_id[0] == by_id[1] == by_id[2] == by_id[8] == ("und", 0.0)
+    assert language.train(empty) is None
+    assert language.identify(awkward, None, F.lit(True)).filter("lang_pred <> 'und'").count() == 0
+
+
+def test_toxicity(spark, awkward, empty):
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    rows = QUERIES["op3_toxicity"](spark, SMALL).join(labels, "doc_id", "left").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
+    bad = [r.score for r in rows if r.held_out and r.toxic == 1]
+    fine = [r.score for r in rows if r.held_out and r.toxic == 0]
+    assert np.mean([[b > f for f in fine] for b in bad]) > 0.8
+    texts = [("you are an idiot here", 1), ("what a lovely day it is", 0)] * 20
+    model = toxicity.fit(texts)
+    plain, spaced, clean = toxicity.Scorer(model)(["such an idiot", "such an i d i o t", "a lovely day"])
+    assert min(plain, spaced) > clean
+    for known in (model, None):
+        assert toxicity.score(awkward, known, F.lit(True)).count() == awkward.count()
+    assert toxicity.train(empty, labels) is None
+
+
+def test_token_counts(spark, awkward, empty):
+    encoding, sizes = token_counts._encoding(public_tokenizers.path(token_counts.TOKENIZER))
+    docs = awkward.filter("doc_id is not null").distinct()
+    rows = defaultdict(list)
+    for r in token_counts.section_tokens(docs).orderBy("doc_id", "section").collect():
+        rows[r.doc_id].append(r)
+    for doc in docs.collect():
+        own, text = rows[doc.doc_id], doc.text or ""
+        assert "".join(text[r.start : r.start + r.length] for r in own) == text
+        assert sum(r.n_tokens for r in own) == len(encoding.encode_ordinary(text))
+    # "ab|c" and "d|e": the middle byte decides, of two the earlier
+    assert token_counts.attribute(np.array([3, 2]), np.array([0, 2, 4])).tolist() == [1, 1, 0]
+    assert token_counts.section_tokens(empty).count() == 0
