@@ -109,7 +109,7 @@ def run(
     paths: LakePaths,
     raw: Mapping[str, DataFrame] | None = None,
     ingest_date: str | None = None,
-    gated: Iterable[str] = ("reviews",),
+    gated: Iterable[str] = ("reviews", "bookings", "transactions"),
 ) -> Outcome:
     """Everything in order. Without ``raw`` it starts from what was landed before.
 

@@ -35,7 +35,8 @@ def build_session(app_name: str, **settings: str) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in a local test, a temporary folder stands in.
+    Where that is unset and Spark runs on this machine alone, as in a test, a temporary
+    folder stands in. On a cluster executors would each write to their own disk: an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -43,6 +44,8 @@ def scratch_root(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="roost-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 

@@ -39,22 +39,25 @@ def write_json_lines(df: DataFrame, path: str) -> int:
     return observed.get["rows"]
 
 
-def write_clean(df: DataFrame, paths: LakePaths, dataset: str) -> int:
-    """Write a clean table.
-
-    Of a partitioned table only the partitions that occur in ``df`` are replaced;
-    partitions missing from ``df`` stay. Rows are first gathered by partition, with
-    large ones split, so that a partition gets a few right-sized files rather than one
-    from every task.
+def write_clean(
+    df: DataFrame, paths: LakePaths, dataset: str, *, only_partitions: bool = False
+) -> int:
+    """Write a clean table: replace it whole, so that no row of an earlier run is left.
+
+    With ``only_partitions``, for incremental loads, only the partitions that occur in
+    ``df`` are replaced; a row that has moved to another partition then stays in the old
+    one as well. Rows are first gathered by partition, with large ones split, so that a
+    partition gets a few right-sized files rather than one from every task.
     """
     partition = _partition_name(CLEAN_PARTITION[dataset])
     path = paths.clean(dataset)
     if partition is not None:
         df = df.hint("rebalance", partition)
     rows, observed = _counted(df)
-    writer = rows.write.mode("overwrite")
+    mode = "dynamic" if only_partitions and partition is not None else "static"
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", mode)
     if partition is not None:
-        writer = writer.partitionBy(partition).option("partitionOverwriteMode", "dynamic")
+        writer = writer.partitionBy(partition)
     writer.parquet(path)
     return observed.get["rows"]
 

@@ -141,19 +141,34 @@ def test_failed_gate_writes_no_mart(spark, paths):
     assert not Path(paths.gold).exists()
 
 
-def test_clean_write_keeps_other_partitions_and_mart_write_does_not(spark, paths):
+def test_writes_replace_tables_unless_asked_for_partitions(spark, paths):
     def bookings(*months):
         return spark.createDataFrame([(i, m) for i, m in enumerate(months)], "id INT, checkin_month STRING")
 
     assert write_clean(bookings("2024-01", "2024-02", "2024-02"), paths, "bookings") == 3
-    assert write_clean(bookings("2024-02"), paths, "bookings") == 1
+    assert write_clean(bookings("2024-02"), paths, "bookings", only_partitions=True) == 1
     assert read_clean(spark, paths, "bookings").count() == 2
+    assert write_clean(bookings("2024-03"), paths, "bookings") == 1
+    assert read_clean(spark, paths, "bookings").count() == 1
     for months in (("2024-01", "2024-02"), ("2024-02",)):
         earned = bookings(*months).selectExpr("*", "1.0D AS total_revenue")
         assert write_mart(earned, paths, "revenue_by_listing_month") == len(months)
     assert spark.read.parquet(paths.mart("revenue_by_listing_month")).count() == 1
 
 
+def test_a_booking_landed_again_with_other_dates_counts_once(spark, paths):
+    raw = RawData(listings=20).tables(spark)
+    booking = "1L AS booking_id, {}L AS listing_id, 5L AS guest_id, '{}' AS checkin_date, '{}' AS checkout_date"
+    rest = "'2' AS nights, '100.0' AS amount, 'completed' AS status"
+    listing = raw["listings"].where("price > 0").first().id
+    for first, last in (("2024-01-10", "2024-01-12"), ("2024-02-10", "2024-02-12")):
+        raw["bookings"] = spark.sql(f"SELECT {booking.format(listing, first, last)}, {rest}")
+        outcome = medallion.run(spark, paths, raw, DAY)
+        assert outcome.clean["bookings"] == read_clean(spark, paths, "bookings").count() == 1
+    months = spark.read.parquet(paths.mart("revenue_by_listing_month")).collect()
+    assert [(m.checkin_month, m.total_revenue) for m in months] == [("2024-02", 100.0)]
+
+
 def test_months_of_a_mart_are_few_sorted_files(spark, lake):
     import pyarrow.parquet as pq
 
