@@ -29,11 +29,13 @@ def fit_svm(x: np.ndarray, y: np.ndarray, penalty: float, weight: np.ndarray | N
     return w
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float) -> np.ndarray:
-    """Logistic regression on 0 or 1; the last weight is the bias, hardly penalised."""
+def fit_logistic(
+    x: np.ndarray, y: np.ndarray, penalty: float, bias_penalty: float = 1e-4
+) -> np.ndarray:
+    """Logistic regression on 0 or 1; the last weight is the bias."""
     x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
     held = np.full(x.shape[1], penalty)
-    held[-1] = 1e-4
+    held[-1] = bias_penalty
     w = np.zeros(x.shape[1])
     for _ in range(30):
         p = sigmoid(x @ w)

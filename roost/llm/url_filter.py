@@ -29,7 +29,7 @@ from roost.llm.svm import fit_logistic, sigmoid
 
 BUCKETS = 1 << 15
 GRAMS = (3, 4, 5)
-PRIOR = 0.2  # share of addresses expected to be blocked; the labelled table holds as many of each
+PRIOR = 0.4  # probability to block an address without n-grams
 
 
 @dataclass(frozen=True)
@@ -125,8 +125,10 @@ def train(blocked: Sequence[str] = BLOCKED, ordinary: Sequence[str] = ORDINARY,
         host, slash, path = address.partition("/")
         grams = address_grams(host, slash + path)
         x[row, grams] = 1 / np.sqrt(len(grams))
-    weights = fit_logistic(x * 8, np.repeat([1.0, 0.0], [len(blocked), len(ordinary)]), penalty)
-    weights[-1] += np.log(PRIOR / (1 - PRIOR)) - np.log(len(blocked) / len(ordinary))
+    # Held near 0, the bias leaves it to the n-grams to speak for either side.
+    labels = np.repeat([1.0, 0.0], [len(blocked), len(ordinary)])
+    weights = fit_logistic(x * 8, labels, penalty, bias_penalty=1000.0)
+    weights[-1] += np.log(PRIOR / (1 - PRIOR))
     return weights.astype(np.float32)
 
 
