@@ -2,7 +2,7 @@
 
 A paragraph is a line with its line feed; a section ends after a blank line and after a
 paragraph whose digest is 0 modulo 8; a passage, the leaf, ends with the paragraph and
-after a word whose hash is 0 modulo 4. All borders depend on the content alone, so an edit
+after a word whose hash is 0 modulo 8. All borders depend on the content alone, so an edit
 changes the leaves it touches and the nodes above them, nothing else. Leaves cover every
 byte. The fingerprint is the root, then the leaves with the tree's shape, from which each
 node can be recomputed: equal roots mean equal texts, and going down differing nodes only
@@ -64,7 +64,7 @@ class Tree:
         first, last = edges[0::2], edges[1::2]
         hashes = W.mix((sums[last] - sums[first]) * down[first])
         # A passage begins with the word after one that ends it, and with each paragraph.
-        ends = np.flatnonzero(hashes[:-1] % np.uint64(4) == 0)
+        ends = np.flatnonzero(hashes[:-1] % np.uint64(8) == 0)
         breaks = np.flatnonzero(raw == 10) + 1
         lines = np.concatenate(([0], breaks[breaks < n]))
         starts = np.union1d(lines, first[ends + 1])
@@ -182,7 +182,10 @@ def _next_ids(ids: DataFrame) -> DataFrame:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of each text and of its edited text, and how near they are."""
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    # No alias where none is needed: both joins then find the same shuffle of the texts.
+    if docs.schema["doc_id"].dataType.simpleString() != "bigint":
+        docs = docs.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    docs = docs.select("doc_id", "text")
     known = docs.filter("doc_id is not null")
     sizes = known.groupBy("doc_id").agg(F.max(F.coalesce(F.length("text"), F.lit(0))).alias("n"))
     asked = _next_ids(sizes).select(
