@@ -39,13 +39,13 @@ from roost.llm.svm import fit_logistic, fit_svm, sigmoid
 
 PER_LABEL = 2500
 LANDMARKS = 160
-DECAY = 0.8
+DECAY = 0.6
 GAP = 3  # farthest step between neighbouring characters of a triple
 POWER = 6
 HARDEST = 8  # sentences of each clean document that a round of training sees
 ALTERED = 0.2  # weight of the altered insults, all toxic sentences weighing 1
 ROUNDS = 3
-LONGEST = 16
+LONGEST = 12
 _PART = 28  # characters compared at a time; longer words are read in overlapping parts
 _CACHED = 1_000_000
 _SYMBOLS = 1 << 6
