@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from roost.llm.svm import fit_logistic, fit_svm, sigmoid
 
-PER_LABEL = 2500
+PER_LABEL = 1000
 LANDMARKS = 160
 DECAY = 0.6
 GAP = 3  # farthest step between neighbouring characters of a triple
@@ -269,8 +269,8 @@ def fit(texts: list[tuple[str, int]], landmarks: int = LANDMARKS) -> ToxicityMod
             vocabulary.setdefault(word, len(vocabulary))
     mapped = np.zeros((len(vocabulary), len(picked)), np.float32)
     names = list(vocabulary)
-    for start in range(0, len(names), 50_000):
-        some = names[start : start + 50_000]
+    for start in range(0, len(names), 8192):
+        some = names[start : start + 8192]
         mapped[start : start + len(some)] = kernel([w[:_PART] for w in some]) @ whiten
     sentences, owner, labels = [], [], np.array([label for _, _, label in rows])
     for i, (words, ends, _) in enumerate(rows):
@@ -279,6 +279,7 @@ def fit(texts: list[tuple[str, int]], landmarks: int = LANDMARKS) -> ToxicityMod
         sentences.append(sums)
         owner.append(np.full(len(sums), i))
     x, owner = np.vstack(sentences), np.concatenate(owner)
+    del mapped, sentences, vocabulary, names
     firsts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
 
     # To begin with, the worst sentence of a document is the one closest to a toxic word.
