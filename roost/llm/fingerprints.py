@@ -15,12 +15,13 @@ between documents is the start of a text and its leaves.
 
 Null text is empty; two empty texts have likeness 1. Rows without an id have no next
 document: it counts as empty. Where an id repeats, each row is followed by the next greater
-id, whose least row is taken.
+id, of whose rows one is taken, the same in every run.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -122,12 +123,13 @@ def edited_places(old: str, new: str) -> list[tuple[int, int]]:
 
 
 def _sent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """What a document needs of the next: the start of its text and its leaves."""
+    """What a document needs of the next: the start of its text, compressed, and its leaves."""
     for batch in batches:
+        heads = [(t or "")[:n] for t, n in zip(batch["text"], batch["take"])]
         yield pd.DataFrame(
             {
                 "to_id": batch["to_id"],
-                "head": [(t or "")[:n] for t, n in zip(batch["text"], batch["take"])],
+                "head": [zlib.compress(head.encode("utf-8", "surrogatepass")) for head in heads],
                 "next_leaves": [Tree(t).leaves.astype("<u4").tobytes() for t in batch["text"]],
             }
         )
@@ -139,7 +141,8 @@ def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for doc_id, text, head, leaves in zip(
             batch["doc_id"], batch["text"], batch["head"], batch["next_leaves"]
         ):
-            text, head = text or "", head or ""
+            text = text or ""
+            head = zlib.decompress(head).decode("utf-8", "surrogatepass") if head else ""
             n = len(text)
             edited = text[: n - n // 4] + head[: n // 4]
             own, other = Tree(text), Tree(edited)
@@ -195,13 +198,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     )
     sent = (
         known.join(asked, "doc_id")
-        .mapInPandas(_sent, "to_id bigint, head string, next_leaves binary")
+        .mapInPandas(_sent, "to_id bigint, head binary, next_leaves binary")
         .groupBy("to_id")
         .agg(F.min(F.struct("head", "next_leaves")).alias("least"))
         .select(F.col("to_id").alias("doc_id"), "least.*")
     )
     followed = known.join(sent, "doc_id", "left").select("doc_id", "text", "head", "next_leaves")
     alone = docs.filter("doc_id is null").select(
-        "doc_id", "text", F.lit("").alias("head"), F.lit(b"").alias("next_leaves")
+        "doc_id", "text", F.lit(b"").alias("head"), F.lit(b"").alias("next_leaves")
     )
     return followed.unionByName(alone).mapInPandas(_compared, _COLUMNS)
