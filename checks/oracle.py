@@ -1,6 +1,6 @@
 """ANSI SQL, run by DuckDB on the same tables, that gives each query's expected rows.
 
-Money is added up as DECIMAL(18,2), unlike the whole cents of the Spark side, and
+Money is added up as decimals and then rounded, unlike the bigints of the Spark side, and
 rounded rates come from whole-number arithmetic, so the two sides share no method.
 """
 
@@ -171,7 +171,7 @@ def _days(column: str, offset: int, length: int) -> str:
     return f"{column} >= DATE '{first}' AND {column} < DATE '{first + timedelta(days=length)}'"
 
 
-_CASH = "sum(CAST(amount AS DECIMAL(18,2)))"
+_CASH = "round(sum(CAST(amount AS DECIMAL(28,8))), 2)"
 _DOLLARS = f"CAST({_CASH} AS DOUBLE)"
 _PAID = "status = 'succeeded'"
 _MONTHLY = f"-- with\nmonthly AS (SELECT txn_month, {_CASH} AS r FROM payments WHERE {_PAID} GROUP BY 1)\n"
@@ -199,11 +199,11 @@ WHERE txn_date = DATE '{START + timedelta(days=500)}' GROUP BY currency"""),
 SELECT neighbourhood, {_DOLLARS} AS revenue FROM transactions t JOIN listings l USING (listing_id)
 WHERE {_PAID} AND {_days("txn_date", 200, 30)} GROUP BY neighbourhood"""),
     "q05_txn_booking_join": _over("payments bookings", f"""
-SELECT nights, CAST(sum(CAST(p.amount AS DECIMAL(18,2))) AS DOUBLE) AS revenue, count(*) AS n
+SELECT nights, CAST(round(sum(CAST(p.amount AS DECIMAL(28,8))), 2) AS DOUBLE) AS revenue, count(*) AS n
 FROM payments p JOIN bookings b USING (booking_id)
 WHERE p.{_PAID} AND {_days("txn_date", 250, 30)} AND b.status = 'completed' GROUP BY nights"""),
     "q06_three_way_join": _over("payments bookings listings", f"""
-SELECT room_type, CAST(sum(CAST(p.amount AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+SELECT room_type, CAST(round(sum(CAST(p.amount AS DECIMAL(28,8))), 2) AS DOUBLE) AS revenue
 FROM payments p JOIN bookings b USING (booking_id) JOIN listings l ON b.listing_id = l.listing_id
 WHERE p.{_PAID} AND {_days("txn_date", 300, 90)} GROUP BY room_type"""),
     "q07_review_listing_join": _over("reviews listings", f"""
@@ -308,7 +308,7 @@ SELECT *, {_half_up("(completed + confirmed)", "total_bookings", 4)} AS conversi
 g AS (SELECT payment_method, count(txn_id) AS total_txns,
   count(*) FILTER (status = 'succeeded') AS succeeded, count(*) FILTER (status = 'failed') AS failed,
   count(*) FILTER (status = 'refunded') AS refunded,
-  CAST(sum(CASE WHEN {_PAID} THEN CAST(amount AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS settled_amount
+  CAST(round(sum(CASE WHEN {_PAID} THEN CAST(amount AS DECIMAL(28,8)) ELSE 0 END), 2) AS DOUBLE) AS settled_amount
 FROM clean_transactions GROUP BY 1)
 SELECT *, {_half_up("succeeded", "total_txns", 4)} AS success_rate FROM g"""),
 }
@@ -374,4 +374,13 @@ drawn AS (SELECT CASE txn_id % 3 WHEN 0 THEN 'succeeded' WHEN 1 THEN 'failed' EL
   DATE '2023-01-01' + CAST((txn_id * 2654435761) % 730 AS INT) AS txn_date FROM ids)
 SELECT status, substr(CAST(txn_date AS STRING), 1, 7) AS txn_month, count(*) AS n
 FROM drawn GROUP BY 1, 2""",
+    "subcent_totals": """
+WITH lines AS (SELECT l_returnflag, l_linestatus,
+  CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(18,2)), 4) AS DECIMAL(28,8)) / 100 - 20
+    AS amount FROM lineitem)
+SELECT l_returnflag, l_linestatus,
+  CAST(round(sum(CAST(amount AS DECIMAL(28,8))), 2) AS DOUBLE) AS total,
+  CAST(round(sum(CAST(amount / 1000 AS DECIMAL(28,8))), 2) AS DOUBLE) AS thousandth,
+  count(*) AS n
+FROM lines GROUP BY 1, 2""",
 }

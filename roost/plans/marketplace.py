@@ -5,15 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
-from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roost.functions.calendar import DayRange
-from roost.functions.money import total_cents
+from roost.functions.money import joined, split, total_cents
 from roost.operators.pruning import in_days
-from roost.operators.sizes import is_small
 
 
 @dataclass(frozen=True)
@@ -25,8 +23,6 @@ class Marketplace:
     listing is found through the booking, and only for queries that ask for it.
     ``summary`` is succeeded revenue per listing and month, if it was built.
     ``by_month`` says that the facts are partitioned by their month column.
-    ``small_listings`` settles whether listings are broadcast; left open, their size is
-    measured when a workload first needs to know.
     """
 
     listings: DataFrame
@@ -36,7 +32,6 @@ class Marketplace:
     start: date
     summary: DataFrame | None = None
     by_month: bool = False
-    small_listings: bool | None = None
 
     def span(self, offset: int, length: int) -> DayRange:
         return DayRange.after(self.start, offset, length)
@@ -50,17 +45,6 @@ class Marketplace:
     def reviews_in(self, days: DayRange) -> DataFrame:
         return in_days(self.reviews, "review_date", days, "review_month" if self.by_month else None)
 
-    @cached_property
-    def broadcasts_listings(self) -> bool:
-        if self.small_listings is not None:
-            return self.small_listings
-        return is_small(self.listings.select("listing_id", "neighbourhood", "room_type"))
-
-    def listing_facts(self, *attributes: str) -> DataFrame:
-        """Listing id and attributes, marked for broadcast only if their size allows it."""
-        picked = self.listings.select("listing_id", *attributes)
-        return F.broadcast(picked) if self.broadcasts_listings else picked
-
     def payment_totals(
         self,
         payments: DataFrame,
@@ -78,21 +62,26 @@ class Marketplace:
         real sizes, splits a booking with a huge share of the payments, and hashes or
         broadcasts the smaller side if it fits. Sums per booking would save nothing,
         a booking has few payments, and would take that choice away. Listings have many:
-        unless they are broadcast, payments are added up per listing first, so that one
-        with a huge share brings one row per map task.
+        payments are added up per listing first, so that one with a huge share brings one
+        row per map task, and Spark chooses the join to listings by the sizes it then sees.
         """
         attributes = [c for c in listing if c != "listing_id"]
-        totals, parts = payments, (total_cents(), F.count(F.lit(1)))
-
-        def add_up(df: DataFrame, *keys: str) -> DataFrame:
-            return df.groupBy(*keys).agg(parts[0].alias("cents"), parts[1].alias("n"))
-
+        n = F.count(F.lit(1)).alias("n")
         if via_booking or "listing_id" not in payments.columns:
             owner = self.bookings.select("booking_id", "listing_id")
-            totals = payments.select("booking_id", "amount", *by).join(owner, "booking_id")
-        if attributes:
-            if not self.broadcasts_listings:
-                totals = add_up(totals, "listing_id", *by)
-                parts = F.sum("cents"), F.sum("n")
-            totals = totals.join(self.listing_facts(*attributes), "listing_id")
-        return add_up(totals, *by, *listing)
+            payments = payments.select("booking_id", "amount", *by).join(owner, "booking_id")
+        if not attributes:
+            return payments.groupBy(*by, *listing).agg(total_cents().alias("cents"), n)
+        dimension = self.listings.select("listing_id", *attributes)
+        whole, parts = split(F.col("amount"))
+        if "listing_id" in listing:
+            totals = payments.groupBy("listing_id", *by).agg(total_cents().alias("cents"), n)
+            return totals.join(dimension, "listing_id").select(*by, *listing, "cents", "n")
+        per_listing = payments.groupBy("listing_id", *by).agg(
+            F.sum(whole).alias("whole"), F.sum(parts).alias("parts"), n
+        )
+        return (
+            per_listing.join(dimension, "listing_id")
+            .groupBy(*by, *listing)
+            .agg(joined(F.sum("whole"), F.sum("parts")).alias("cents"), F.sum("n").alias("n"))
+        )

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roost.functions.money import cents, dollars
+from roost.functions.money import dollars, total_cents
 
 
 def review_totals(reviews: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def booking_totals(bookings: DataFrame, *by: str) -> DataFrame:
         F.count_if(F.col("status") == "confirmed").alias("confirmed"),
         F.count_if(F.col("status").isin("cancelled", "no_show")).alias("cancelled"),
         F.sum(F.when(done, F.col("nights"))).alias("_nights"),
-        F.sum(F.when(done, cents(F.col("amount")))).alias("_cents"),
+        total_cents(F.when(done, F.col("amount"))).alias("_cents"),
     )
 
 
@@ -145,7 +145,7 @@ def transaction_success_rates(transactions: DataFrame) -> DataFrame:
             for outcome in ("succeeded", "failed", "refunded")
         ],
         dollars(
-            F.sum(F.when(F.col("status") == "succeeded", cents(F.col("amount"))).otherwise(0))
+            total_cents(F.when(F.col("status") == "succeeded", F.col("amount")).otherwise(0.0))
         ).alias("settled_amount"),
     )
     return outcomes.withColumn("success_rate", _share(F.col("succeeded"), "total_txns")).orderBy(

@@ -138,3 +138,17 @@ def _synth_status_months(spark, sf_dir):
     ids = mapped.payments(spark, sf_dir).select(F.col("txn_id").alias("id"))
     drawn = synthetic.transactions(ids, synthetic.LARGE_LISTINGS, synthetic.LARGE_LISTINGS)
     return drawn.groupBy("status", "txn_month").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_register("subcent_totals")
+def _subcent_totals(spark, sf_dir):
+    """Amounts with parts of a cent, negative ones too, are rounded after they are added."""
+    discounted = F.col("l_extendedprice") * F.col("l_discount") / 100 - F.lit(20)
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_returnflag", "l_linestatus", discounted.alias("amount")
+    )
+    return lines.groupBy("l_returnflag", "l_linestatus").agg(
+        dollars(total_cents()).alias("total"),
+        dollars(total_cents(F.col("amount") / 1000)).alias("thousandth"),
+        F.count(F.lit(1)).alias("n"),
+    )

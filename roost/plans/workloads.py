@@ -126,15 +126,16 @@ def revenue_by_room_type(lake):
 
 @_workload("q07_review_listing_join", "Rating by neighbourhood, 30 days", "join")
 def rating_by_neighbourhood(lake):
-    stars, n = F.sum("rating"), _rows()
-    reviews = lake.reviews_in(lake.span(150, MONTH))
-    if not lake.broadcasts_listings:
-        reviews = reviews.groupBy("listing_id").agg(stars.alias("stars"), n.alias("n"))
-        stars, n = F.sum("stars"), F.sum("n")
+    per_listing = (
+        lake.reviews_in(lake.span(150, MONTH))
+        .groupBy("listing_id")
+        .agg(F.sum("rating").alias("stars"), _rows().alias("n"))
+    )
+    n = F.sum("n")
     return (
-        reviews.join(lake.listing_facts("neighbourhood"), "listing_id")
+        per_listing.join(lake.listings.select("listing_id", "neighbourhood"), "listing_id")
         .groupBy("neighbourhood")
-        .agg((stars / n).alias("avg_rating"), n.alias("n"))
+        .agg((F.sum("stars") / n).alias("avg_rating"), n.alias("n"))
     )
 
 
@@ -179,15 +180,12 @@ def share_of_neighbourhood(lake):
     """The group total comes from its own small aggregate instead of a window.
 
     A window would gather each neighbourhood, however large, in one task. The totals
-    have a row per neighbourhood, never more rows than there are listings, so where
-    listings may be broadcast, the totals may.
+    have a row per neighbourhood; Spark broadcasts them if it finds them small.
     """
     per_listing = _revenue(lake, listing=("neighbourhood", "listing_id"))
     totals = per_listing.groupBy(F.col("neighbourhood").alias("_area")).agg(
         F.sum("cents").alias("all_cents")
     )
-    if lake.broadcasts_listings:
-        totals = F.broadcast(totals)
     return (
         per_listing.join(totals, F.col("neighbourhood").eqNullSafe(F.col("_area")))
         .select(

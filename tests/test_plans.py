@@ -63,15 +63,22 @@ def test_listing_is_not_looked_up_where_unused(spark, key):
     assert "customer.parquet" not in plan_of(REGISTRY[key](spark, SMALL))
 
 
-def test_only_checked_listings_are_broadcast(spark, setting):
+def test_facts_shrink_before_they_meet_listings(spark, setting):
     setting(**{"spark.sql.autoBroadcastJoinThreshold": "-1"})
     lake = mapped.marketplace(spark, SMALL)
-    query = WORKLOADS["q07_review_listing_join"].plan
-    assert "BroadcastHashJoin [listing_id" in plan_of(query(lake))
-    large = plan_of(query(replace(lake, small_listings=False)))
-    assert "BroadcastHashJoin [listing_id" not in large
-    # with large listings the facts shrink to a row per listing before they meet them
-    assert large.index("SortMergeJoin") < large.index("keys=[listing_id")
+    plan = plan_of(WORKLOADS["q07_review_listing_join"].plan(lake))
+    assert "BroadcastHashJoin" not in plan
+    assert plan.index("SortMergeJoin") < plan.index("keys=[listing_id")
+
+
+def test_planning_a_join_with_listings_runs_no_job(spark):
+    lake = mapped.marketplace(spark, SMALL)
+    spark.sparkContext.setJobGroup("planning", "q04")
+    try:
+        WORKLOADS["q04_txn_listing_join"].plan(lake)
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup("planning") == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_share_computes_revenue_once(spark):
