@@ -44,10 +44,11 @@ BLOCK = 150_000  # tokens of the documents that are compared with each other in
 SIGNS = 4
 LARGE = 16  # documents of a cluster that is a group of its own
 FREQUENT = 65_536  # tokens whose frequency decides their order; others count as rare
-_CHUNK = 4_000_000  # tokens counted at a time
+_CHUNK = 1_000_000  # tokens counted at a time
+_SENT = 250_000  # tokens after which a task hands over its rows
 _MEMBER, _QUERY = 0, 1
 _SEEDS = mix(np.arange(1, SIGNS + 1, dtype=np.uint64))
-_SEEN = 8  # times a token is found in a chunk before it is reported
+_SEEN = 4  # times a token is found in a chunk before it is reported
 
 
 def _ceil_share(n):
@@ -99,14 +100,21 @@ def _first_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _leading(frequent: np.ndarray, counts: np.ndarray):
     """Second pass: the leading tokens of each document, rare first, and its signs."""
 
+    def framed(rows: list) -> pd.DataFrame:
+        frame = pd.DataFrame(rows, columns=["doc_id", "n", "k1", "k2", "signs", "leading"])
+        return frame.astype({"doc_id": "Int64"})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
+            rows, size = [], 0
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 tokens = shingle_set(text)
                 n = len(tokens)
                 if not n:
                     continue
+                if size >= _SENT:
+                    yield framed(rows)
+                    rows, size = [], 0
                 seen = np.zeros(n, np.int64)
                 if len(frequent):
                     at = np.searchsorted(frequent, tokens).clip(max=len(frequent) - 1)
@@ -124,18 +132,24 @@ def _leading(frequent: np.ndarray, counts: np.ndarray):
                         _signed(tokens[first]),
                     )
                 )
-            frame = pd.DataFrame(rows, columns=["doc_id", "n", "k1", "k2", "signs", "leading"])
-            yield frame.astype({"doc_id": "Int64"})
+                size += len(first)
+            yield framed(rows)
 
     return run
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        tokens = [shingle_set(text) for text in batch["text"]]
-        yield pd.DataFrame(
-            {"node": batch["node"], "n": [len(t) for t in tokens], "tokens": [t.tobytes() for t in tokens]}
-        )
+        rows, size = [], 0
+        for node, text in zip(batch["node"], batch["text"]):
+            tokens = shingle_set(text)
+            rows.append((node, len(tokens), tokens.tobytes()))
+            size += len(tokens)
+            if size >= _SENT:
+                yield pd.DataFrame(rows, columns=["node", "n", "tokens"])
+                rows, size = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=["node", "n", "tokens"])
 
 
 class _Block:
