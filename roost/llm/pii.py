@@ -58,7 +58,8 @@ CANDIDATE = (
     r"|[0-9]{4}(?:[\x20-][0-9]{4}){3}(?![0-9])"
     r"|[0-9]{13,19}"
 )
-_MAY_CANDIDATE = r"[0-9]{4}|=|[\[(]at[\])]"
+#: Cheap condition that every branch of ``CANDIDATE`` meets.
+_MAY_CANDIDATE = r"AKIA|[0-9]{4}|=|[\[(]at[\])]"
 _CUES = (
     r"(?i)(call|phone|tel|mobile|fax|card|visa|iban|mail|contact|reach|password|passwd|pwd|token"
     r"|secret|key|ssn|social|id|number)[^A-Za-z0-9]{0,4}$"
