@@ -39,9 +39,9 @@ from roost.llm.svm import fit_logistic, fit_svm, sigmoid
 
 PER_LABEL = 1000
 LANDMARKS = 160
-DECAY = 0.6
+DECAY = 0.95
 GAP = 3  # farthest step between neighbouring characters of a triple
-POWER = 6
+POWER = 3
 HARDEST = 8  # sentences of each clean document that a round of training sees
 ALTERED = 0.2  # weight of the altered insults, all toxic sentences weighing 1
 ROUNDS = 3

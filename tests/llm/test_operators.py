@@ -351,6 +351,15 @@ def test_toxicity(spark, awkward, empty):
     assert toxicity.train(empty, labels) is None
 
 
+def test_insults_with_a_letter_put_in():
+    for word, altered in (("idiot", "id1iot"), ("idiot", "idiqot"), ("moron", "mor0on"), ("stupid", "stu1pid")):
+        plain, near, far = toxicity.Kernel([word])([word, altered, "lovely"])[:, 0]
+        assert plain == pytest.approx(1, abs=1e-5) and near > 0.15 and far < 0.01, altered
+    texts = [("you are an idiot here", 1), ("he is a moron again", 1), ("what a lovely day it is", 0)] * 20
+    scores = toxicity.Scorer(toxicity.fit(texts))(["such an idiqot", "what a moqron", "a lovely day"])
+    assert min(scores[:2]) >= 0.5 > scores[2]
+
+
 def test_token_counts(spark, awkward, empty):
     encoding, sizes = token_counts._encoding(public_tokenizers.path(token_counts.TOKENIZER))
     docs = awkward.filter("doc_id is not null").distinct()
