@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from roost.llm.svm import fit_logistic, fit_svm, sigmoid
 
-PER_LABEL = 1000
+PER_LABEL = 2500
 LANDMARKS = 160
 DECAY = 0.95
 GAP = 3  # farthest step between neighbouring characters of a triple
@@ -47,6 +47,7 @@ ALTERED = 0.2  # weight of the altered insults, all toxic sentences weighing 1
 ROUNDS = 3
 LONGEST = 12
 _PART = 28  # characters compared at a time; longer words are read in overlapping parts
+_CHUNK = 1024  # words whose triples are held at a time
 _CACHED = 1_000_000
 _SYMBOLS = 1 << 6
 _TRIPLES = _SYMBOLS**3
@@ -104,8 +105,8 @@ class Kernel:
 
     def __call__(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), len(self.landmarks)), np.float32)
-        for start in range(0, len(words), 4096):
-            chunk = words[start : start + 4096]
+        for start in range(0, len(words), _CHUNK):
+            chunk = words[start : start + _CHUNK]
             word, triple, weight = _triples(chunk)
             at = np.searchsorted(self.used, triple).clip(max=max(len(self.used) - 1, 0))
             if not len(self.used):
@@ -224,13 +225,9 @@ class Scorer(dict):
         return self.model.probability(np.array(out)) if out else np.empty(0)
 
 
-def _chosen_landmarks(docs: list[tuple[set[str], int]], count: int) -> tuple[list[str], set[str]]:
+def _chosen_landmarks(toxic: Counter, clean: Counter, many: int, others: int, count: int) -> tuple[list[str], set[str]]:
     """Landmarks, and which of them speak for toxicity: words by how much more often toxic documents hold them, then common clean ones."""
-    toxic, clean = Counter(), Counter()
-    for words, label in docs:
-        (toxic if label else clean).update(words)
-    many = sum(label for _, label in docs)
-    others = max(1, len(docs) - many)
+    others = max(1, others)
     least = 3 if many >= 30 else 1
     contrast = {
         w: n * np.log((n / many) / ((clean[w] + 0.5) / others))
@@ -249,60 +246,90 @@ def _chosen_landmarks(docs: list[tuple[set[str], int]], count: int) -> tuple[lis
     return picked, set(contrast)
 
 
+class Sentences:
+    """Sentences of the sample, as numbers of their words; vectors only of those asked for."""
+
+    def __init__(self, texts: list[tuple[str, int]]):
+        numbers: dict[str, int] = {}
+        self.counts = {0: Counter(), 1: Counter()}
+        ids, starts, owner = ([np.empty(0, np.int32)] for _ in range(3))
+        labels, at = [], 0
+        for text, label in texts:
+            tokens = tokens_of(text)
+            if not tokens:
+                continue
+            words = [plain(t) for t in tokens]
+            self.counts[label].update({*words} - {""})
+            first = sentence_starts(np.array([t.endswith(_ENDS) for t in tokens]))
+            ids.append(np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int32))
+            starts.append(first + at)
+            owner.append(np.full(len(first), len(labels)))
+            labels.append(label)
+            at += len(words)
+        self.labels, self.words = np.array(labels), list(numbers)
+        self.ids, self.starts, self.owner = map(np.concatenate, (ids, starts, owner))
+        self.stops = np.append(self.starts[1:], len(self.ids))
+
+    def map(self, kernel: Kernel, whiten: np.ndarray) -> None:
+        self.mapped = np.zeros((len(self.words), whiten.shape[1]), np.float32)
+        for start in range(0, len(self.words), 8192):
+            some = self.words[start : start + 8192]
+            self.mapped[start : start + len(some)] = kernel([w[:_PART] for w in some]) @ whiten
+
+    def values(self, weights: np.ndarray) -> np.ndarray:
+        """The product of each sentence's vector with ``weights``."""
+        return np.add.reduceat((self.mapped @ weights)[self.ids], self.starts)
+
+    def vectors(self, chosen: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(chosen), self.mapped.shape[1]), np.float32)
+        for start in range(0, len(chosen), 2048):
+            some = chosen[start : start + 2048]
+            sizes = self.stops[some] - self.starts[some]
+            firsts = np.cumsum(sizes) - sizes
+            at = np.arange(sizes.sum()) + np.repeat(self.starts[some] - firsts, sizes)
+            out[start : start + len(some)] = np.add.reduceat(self.mapped[self.ids[at]], firsts, axis=0)
+        return out
+
+
 def fit(texts: list[tuple[str, int]], landmarks: int = LANDMARKS) -> ToxicityModel | None:
     """Train on labelled texts; None unless both labels occur."""
     if len({label for _, label in texts}) < 2:
         return None
-    rows = [([plain(t) for t in tokens_of(text)], [t.endswith(_ENDS) for t in tokens_of(text)], label) for text, label in texts]
-    rows = [row for row in rows if row[0]]
-    picked, insults = _chosen_landmarks([({*words} - {""}, label) for words, _, label in rows], landmarks)
+    sample = Sentences(texts)
+    labels, owner = sample.labels, sample.owner
+    many = int(labels.sum())
+    picked, insults = _chosen_landmarks(sample.counts[1], sample.counts[0], many, len(labels) - many, landmarks)
     if not insults:
         return None
     kernel = Kernel(picked)
     among = kernel(picked).astype(np.float64)
     size, turn = np.linalg.eigh(among + 1e-3 * np.eye(len(picked)))
     whiten = turn / np.sqrt(size.clip(1e-3))
-
-    vocabulary: dict[str, int] = {}
-    for words, _, _ in rows:
-        for word in words:
-            vocabulary.setdefault(word, len(vocabulary))
-    mapped = np.zeros((len(vocabulary), len(picked)), np.float32)
-    names = list(vocabulary)
-    for start in range(0, len(names), 8192):
-        some = names[start : start + 8192]
-        mapped[start : start + len(some)] = kernel([w[:_PART] for w in some]) @ whiten
-    sentences, owner, labels = [], [], np.array([label for _, _, label in rows])
-    for i, (words, ends, _) in enumerate(rows):
-        at = np.array([vocabulary[w] for w in words])
-        sums = np.add.reduceat(mapped[at], sentence_starts(np.array(ends)), axis=0)
-        sentences.append(sums)
-        owner.append(np.full(len(sums), i))
-    x, owner = np.vstack(sentences), np.concatenate(owner)
-    del mapped, sentences, vocabulary, names
+    sample.map(kernel, whiten)
     firsts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+    lasts = [*firsts[1:], len(owner)]
 
     # To begin with, the worst sentence of a document is the one closest to a toxic word.
     near = np.array([1.0 if w in insults else 0.0 for w in picked])
     toxic = [i for i, w in enumerate(picked) if w in insults]
-    values = x @ (np.linalg.pinv(whiten) @ near)
+    values = sample.values(np.linalg.pinv(whiten) @ near)
     altered = [w[:i] + c + w[i:] for k in toxic for w in [picked[k]] for c in _INSERTED for i in range(1, len(w))]
     altered = kernel(altered) @ whiten
     clean = labels[owner] == 0
     for _ in range(ROUNDS):
-        worst = np.array([s + values[s:e].argmax() for s, e in zip(firsts, [*firsts[1:], len(x)])])
+        worst = np.array([s + values[s:e].argmax() for s, e in zip(firsts, lasts)])
         # Of a clean document, the sentences most like an insult so far say the most.
         order = np.lexsort((-values, owner))
-        at = np.arange(len(x)) - np.repeat(firsts, np.diff(np.append(firsts, len(x))))
+        at = np.arange(len(owner)) - np.repeat(firsts, np.diff(np.append(firsts, len(owner))))
         hardest = order[(at < HARDEST) & clean[order]]
-        positive, negative = x[worst[labels == 1]], x[hardest]
+        positive, negative = sample.vectors(worst[labels == 1]), sample.vectors(hardest)
         sizes = [len(positive), len(altered), len(negative)]
         weight = np.repeat([1 / sizes[0], ALTERED / sizes[1], 1 / max(1, sizes[2])], sizes) * sum(sizes) / 2
         y = np.repeat([1.0, 1.0, -1.0], sizes)
         w = fit_svm(np.vstack([positive, altered, negative]), y, 0.5, weight)
-        values = x @ w[:-1]
+        values = sample.values(w[:-1])
     values += w[-1]
-    summaries = [summary(values[s:e]) for s, e in zip(firsts, [*firsts[1:], len(x)])]
+    summaries = [summary(values[s:e]) for s, e in zip(firsts, lasts)]
     document = fit_logistic(np.array(summaries), labels.astype(float), 0.01)
     return ToxicityModel(kernel, (whiten @ w[:-1]).astype(np.float32), float(w[-1]), document)
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -360,6 +361,19 @@ def test_insults_with_a_letter_put_in():
     assert min(scores[:2]) >= 0.5 > scores[2]
 
 
+def test_training_holds_no_vector_for_each_sentence():
+    rng = random.Random(4)
+    pool = [f"{rng.choice('abcdefghij')}{rng.randrange(10**6)}" for _ in range(2000)]
+    some = lambda n: " ".join(rng.choice(pool) for _ in range(n))
+    texts = [(some(2400), 0) for _ in range(150)] + [(f"idiot {some(50)}", 1) for _ in range(20)]
+    tracemalloc.start()
+    model = toxicity.fit(texts)
+    peak = tracemalloc.get_traced_memory()[1] / 2**20
+    tracemalloc.stop()
+    # 30,000 vectors of 160 numbers are 18 MB, and were held twice.
+    assert toxicity.PER_LABEL >= 2500 and len(model.kernel.landmarks) == 160 and peak < 55
+
+
 def test_token_counts(spark, awkward, empty):
     encoding, sizes = token_counts._encoding(public_tokenizers.path(token_counts.TOKENIZER))
     docs = awkward.filter("doc_id is not null").distinct()
