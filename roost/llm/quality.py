@@ -6,8 +6,9 @@ A line fails when it is
 * punctuation: marks of ``[#*$%&<>]`` for at least every second word, or ``!!`` after at
   least every second word (three or more in either case);
 * navigation: at least three ``|``, one for every four words or more;
-* boilerplate: a licence, cookie, script or subscription notice, or a stutter in which
-  a third of the words, three at least, repeat the word before.
+* boilerplate: a licence, cookie, script or subscription notice, one phrase for every
+  ``NOTICE_WORDS`` words or more, or a stutter in which a third of the words, three at
+  least, repeat the word before.
 Lines without a word never fail. A document is rejected if it fails the base rules (fewer
 than ``min_words``, or too many words in repeated windows) or if its failing lines hold
 more than ``max_lost`` percent of its words.
@@ -19,7 +20,7 @@ Repeated rows are judged one by one. Extra columns pass through ``clean_document
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,8 @@ NOTICES = (
     "icensed under ",
     "eleased under ",
 )
+#: A phrase stands for a notice of at most so many words; a longer line only mentions it.
+NOTICE_WORDS = 20
 
 
 def _has_notice(text: Column) -> Column:
@@ -59,6 +62,10 @@ def _count(text: Column, piece: str) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit(piece), F.lit("")))) / F.lit(len(piece))
 
 
+def _notices(text: Column) -> Column:
+    return reduce(add, [_count(text, phrase) for phrase in NOTICES])
+
+
 def _fails(line: Column, words: Column) -> Column:
     n = F.size(words)
     marks = F.length(F.regexp_replace(line, MARKS, ""))
@@ -70,7 +77,7 @@ def _fails(line: Column, words: Column) -> Column:
         | ((shouts >= 3) & (shouts * 2 >= n))
         | ((bars >= 3) & (bars * 4 >= n))
         | ((stutters >= 3) & (stutters * 3 >= n))
-        | _has_notice(line)
+        | (_has_notice(line) & (_notices(line) * NOTICE_WORDS >= n))
     )
 
 

@@ -131,6 +131,16 @@ def test_cleaning_drops_lines_and_documents(spark, empty):
     assert quality.clean_documents(empty).columns == empty.columns
 
 
+def test_a_long_clean_paragraph_may_mention_a_notice(spark):
+    rows = []
+    for i, phrase in enumerate(quality.NOTICES):
+        before, after = words(random.Random(i), 40, 10**6), words(random.Random(100 + i), 40, 10**6)
+        rows += [(i, f"{before} x{phrase} {after}"), (i + 100, f"{before}\nx{phrase} {after[:30]}\n{after}")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    kept = {r.doc_id: r.text for r in quality.clean_documents(docs).collect()}
+    assert kept == {i: t if i < 100 else "\n".join(t.split("\n")[::2]) for i, t in rows}
+
+
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
