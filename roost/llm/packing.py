@@ -18,6 +18,7 @@ each as a document of its own. Extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -48,7 +49,8 @@ class WordIds(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHED:
             self.clear()
-        if word.isascii() and len(word) <= 64:
+        # Special tokens are found before lower-casing, so their case counts.
+        if word.isascii() and len(word) <= 64 and "<|" not in word:
             lower = word.lower()
             if lower != word:
                 ids = self[lower]
@@ -69,6 +71,18 @@ class WordIds(dict):
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+#: What str.split() takes for white space, unlike the tokenizer, and the runs between the tokenizer's own.
+_NOT_SPACE = "\x1c\x1d\x1e\x1f"
+_RUNS = re.compile(rf"(?:\S|[{_NOT_SPACE}])+")
+
+
+def split_words(text: str) -> list[str]:
+    """Runs of a text between white space of the tokenizer."""
+    if any(c in text for c in _NOT_SPACE):
+        return _RUNS.findall(text)
+    return text.split()
+
+
 _WORDS: dict[str, WordIds] = {}
 
 
@@ -86,7 +100,7 @@ def _pieces(tokenizer: str, capacity: int):
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = b"".join([*map(words.__getitem__, (text or "").split()), end])
+                ids = b"".join([*map(words.__getitem__, split_words(text or "")), end])
                 for piece, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]
                     rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))

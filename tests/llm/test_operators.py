@@ -273,6 +273,17 @@ def test_packing(awkward, empty):
     assert packing.pack_documents(empty).count() == 0
 
 
+def test_words_are_encoded_as_in_the_whole_text(spark):
+    texts = [f"a{c}b {c} C{c}" for c in map(chr, range(0x3001)) if c.isspace() or ord(c) < 32]
+    texts += ["<|ENDOFTEXT|>", "<|endoftext|> x", "A<|StartOfText|>B <|startoftext|>C", "<| X |> It'S", "e \u0301 \x1f\u0301"]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: (r.length, r.ids_crc32) for r in packing.pack_documents(docs).collect()}
+    for i, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        assert found[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), repr(text)
+
+
 def test_best_fit_is_the_tightest():
     rng = np.random.default_rng(3)
     lengths = np.sort(rng.integers(1, 100, 500))[::-1]
