@@ -64,6 +64,8 @@ class Marketplace:
         a booking has few payments, and would take that choice away. Listings have many:
         payments are added up per listing first, so that one with a huge share brings one
         row per map task, and Spark chooses the join to listings by the sizes it then sees.
+        Totals are added up again after it, in place if they stay per listing: a listing
+        that stands in the dimension k times counts k times, in one row.
         """
         attributes = [c for c in listing if c != "listing_id"]
         n = F.count(F.lit(1)).alias("n")
@@ -74,9 +76,6 @@ class Marketplace:
             return payments.groupBy(*by, *listing).agg(total_cents().alias("cents"), n)
         dimension = self.listings.select("listing_id", *attributes)
         whole, parts = split(F.col("amount"))
-        if "listing_id" in listing:
-            totals = payments.groupBy("listing_id", *by).agg(total_cents().alias("cents"), n)
-            return totals.join(dimension, "listing_id").select(*by, *listing, "cents", "n")
         per_listing = payments.groupBy("listing_id", *by).agg(
             F.sum(whole).alias("whole"), F.sum(parts).alias("parts"), n
         )
