@@ -56,7 +56,42 @@ q_base AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base
 judged AS (SELECT *, NOT base_failed AND 100 * lost <= 30 * n_words AS kept FROM q_base)"""
 
 
+_A_TO_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+DIVERGENCE = rf"""WITH docs AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang,
+  coalesce(source, '') AS source, translate(coalesce(text, ''), {_A_TO_Z}) AS body FROM documents),
+tokens AS (SELECT rid, lang, source,
+  unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term FROM (SELECT DISTINCT rid, lang, term FROM tokens)
+  GROUP BY lang, term HAVING count(*) >= 3),
+vocabulary AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM tokens JOIN kept USING (lang, term)
+  GROUP BY lang, source, term),
+langs AS (SELECT lang, sum(n) AS total FROM counts GROUP BY lang),
+sizes AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source
+  GROUP BY g.lang, g.source),
+groups AS (SELECT s.lang, s.source, k.term, coalesce(n, 0) AS n,
+  1 + CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 1) // (s.total + v) AS p
+  FROM sizes s JOIN vocabulary USING (lang) JOIN kept k ON k.lang = s.lang
+  LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+wholes AS (SELECT c.lang, c.term, 1 + CAST(1000000000 AS HUGEINT) * (sum(n) + 1) // (any_value(total) + any_value(v)) AS q
+  FROM counts c JOIN langs USING (lang) JOIN vocabulary USING (lang) GROUP BY c.lang, c.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(sum(d), 0) AS value
+  FROM sizes a JOIN sizes b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS other, sum((x.p - y.p) * (x.p - y.p) // y.p) AS d
+    FROM groups x JOIN groups y ON x.lang = y.lang AND x.term = y.term GROUP BY x.lang, x.source, y.source) z
+  ON z.lang = a.lang AND z.source = a.source AND z.other = b.source GROUP BY a.lang, a.source, b.source),
+terms AS (SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value
+  FROM groups JOIN wholes USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (SELECT lang, source, 'pair' AS part, item, value,
+  row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS rank FROM pairs
+  UNION ALL SELECT lang, source, 'term', item, value,
+  row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) FROM terms)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
 ORACLE: dict[str, str] = {
+    "op11_source_divergence": DIVERGENCE,
     "op5_quality_rules": f"""WITH src AS (SELECT row_number() OVER () AS rid, * FROM documents),
 {quality('src')}
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,

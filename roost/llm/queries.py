@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roost.llm import (
+    divergence,
     fingerprints,
     jaccard,
     language,
@@ -87,6 +88,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -100,5 +105,6 @@ QUERIES: dict[str, Query] = {
         op8_url_filter,
         op9_language,
         op10_token_counts,
+        op11_source_divergence,
     )
 }
