@@ -46,6 +46,8 @@ SHARD_KEYS, LEAST_KEYS = 4096, 64
 CELLS = 1 << 18
 WAVE = 2_000_000
 FAN = 256
+_SALTS = 512
+_RUN = 16  # shards of a language that meet its totals in one task
 _HELD_TERMS = 400_000
 _HELD_SLOTS = 8_000_000
 
@@ -262,13 +264,17 @@ def _vocabulary(docs: DataFrame, groups: DataFrame) -> DataFrame:
     )
     kept = keep(kept, "kept-terms")
     keys = F.least(F.lit(SHARD_KEYS), F.greatest(F.lit(LEAST_KEYS), F.floor(CELLS / F.col("n_sources"))))
+    hashed = F.xxhash64("term")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt")
     langs = (
         kept.groupBy("lang")
         .agg(F.count(F.lit(1)).alias("kept"))
         .join(groups.groupBy("lang").agg(F.count(F.lit(1)).alias("n_sources")), "lang")
-        .select("lang", F.ceil(F.col("kept") / keys).alias("shards"))
+        .select("lang", F.ceil(F.col("kept") / keys).alias("shards"), salts)
     )
-    dealt = kept.join(langs, "lang").withColumn("shard", F.pmod(F.xxhash64("term"), F.col("shards")))
+    # One language may hold most terms: they meet its number of shards in many tasks.
+    salted = kept.withColumn("salt", F.pmod(hashed, F.lit(_SALTS)).cast("int"))
+    dealt = salted.join(langs, ["lang", "salt"]).withColumn("shard", F.pmod(hashed, F.col("shards")))
     schema = (
         "lang string, shard bigint, shards bigint, n bigint, seed bigint, sizes binary, words binary, "
         "lengths binary, keys binary, terms array<binary>"
@@ -321,8 +327,11 @@ def audit(docs: DataFrame) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("source", F.coalesce("total", F.lit(0)).alias("total")))).alias("all"))
         .select("lang", F.col("all.source").alias("sources"), F.col("all.total").alias("totals"))
     )
-    kept = vocabulary.groupBy("lang").agg(F.sum("n").alias("kept"))
-    shards = vocabulary.select("lang", "shard", "terms").join(langs.join(kept, "lang"), "lang")
+    kept = vocabulary.groupBy("lang").agg(F.sum("n").alias("kept"), F.max("shard").alias("last"))
+    run = F.explode(F.sequence(F.lit(0), F.floor(F.col("last") / _RUN).cast("int"))).alias("run")
+    langs = langs.join(kept, "lang").select("lang", "sources", "totals", "kept", run)
+    numbered = vocabulary.select("lang", "shard", "terms", F.floor(F.col("shard") / _RUN).cast("int").alias("run"))
+    shards = numbered.join(langs, ["lang", "run"])
     partial = (
         counted.select("lang", "shard", "source", "slots")
         .groupBy("lang", "shard")
