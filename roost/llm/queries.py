@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roost.llm import (
+    alignment,
     divergence,
     fingerprints,
     jaccard,
     language,
+    license_scan,
     mixing,
     packing,
     pii,
@@ -92,6 +94,14 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(_table(spark, sf_dir, "documents"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -106,5 +116,7 @@ QUERIES: dict[str, Query] = {
         op9_language,
         op10_token_counts,
         op11_source_divergence,
+        op12_tokenizer_alignment,
+        op13_license_scan,
     )
 }
