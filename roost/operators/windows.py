@@ -1,8 +1,8 @@
 """Window calculations over totals.
 
-The functions that order a whole table (`running`, `trailing_sum_and_rows`, `previous`,
-`ranked`) are for tables with one row per month, day or neighbourhood. Listings are too
-many for one task: `cumulative_share` spreads them.
+The functions that order a whole table (`running`, `trailing_sum_and_rows`, `previous`)
+are for tables with one row per month or day. Listings are too many for one task, and so
+may neighbourhoods be: `cumulative_share` and `global_rank` cut the order into slices.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roost.session import pinned
+SLICES = 64
 
 _TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 
@@ -31,11 +31,6 @@ def previous(value: str, order: str) -> Column:
     return F.lag(value).over(Window.orderBy(order))
 
 
-def ranked(value: str) -> Column:
-    """Rank, highest first; equal values share a rank."""
-    return F.rank().over(Window.orderBy(F.desc(value)))
-
-
 def top_per_group(df: DataFrame, group: str, value: str, n: int, rank_name: str) -> DataFrame:
     """Rows with one of the ``n`` highest values of their group, ties included.
 
@@ -46,25 +41,71 @@ def top_per_group(df: DataFrame, group: str, value: str, n: int, rank_name: str)
     return df.withColumn(rank_name, F.dense_rank().over(highest_first)).where(F.col(rank_name) <= n)
 
 
+def _sliced(df: DataFrame, value: str, tie_break: str | None = None) -> DataFrame:
+    """Add ``_slice``, numbered in the order of ``value`` from the highest down.
+
+    The borders are ``SLICES`` quantiles from a sketch, one small aggregate that runs as a
+    subquery of the plan: no job of its own, one result for all tasks of the query, repeated
+    ones too. A value that is itself a border, so any value of more than a ``SLICES``-th of
+    the rows, gets a slice of its own, odd by number; with a (numeric) tie break this is cut
+    by the tie break's quantiles in turn. How exact the sketch is decides how even slices
+    are, never the order. NULL comes last, in an odd slice too.
+    """
+    steps = [i / SLICES for i in range(1, SLICES)]
+    quantiles = lambda c: F.array_distinct(F.percentile_approx(c, steps, 100 * SLICES))
+    wanted = [quantiles(value).alias("values")]
+    if tie_break:
+        wanted.append(quantiles(tie_break).alias("ties"))
+    with_borders = df.withColumn("_borders", df.agg(F.struct(*wanted)).scalar())
+    borders = F.col("_borders")
+    above = F.size(F.filter(borders["values"], lambda b: b > F.col(value)))
+    shared = F.coalesce(F.array_contains(borders["values"], F.col(value)), F.lit(False))
+    place = F.when(F.col(value).isNull(), 2 * SLICES + 1).otherwise(2 * above + shared.cast("int"))
+    if tie_break:
+        inside = F.size(F.filter(borders["ties"], lambda b: b < F.col(tie_break)))
+        place = place * SLICES + F.when(shared, inside).otherwise(0)
+    # Not nullable, so that joins on it add no null test that works it out once more.
+    return with_borders.withColumn("_slice", F.coalesce(place, F.lit(-1))).drop("_borders")
+
+
+def global_rank(df: DataFrame, value: str, name: str) -> DataFrame:
+    """Add the rank over all rows, highest first; equal values share a rank.
+
+    Rows are ranked inside their slice, equal values always meet in one. What stands before
+    a slice is looked up in the counts of the slices (at most two for each border). In the
+    slice of one value all rows are first, so they are ranked where they are found and need
+    not meet.
+    """
+    placed = _sliced(df, value)
+    counts = placed.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.agg(F.collect_list(F.struct("_slice", "_n"))).scalar()
+    part = F.when(F.col("_slice") % 2 == 1, F.spark_partition_id()).otherwise(-1)
+    inside = F.rank().over(Window.partitionBy("_slice", "_part").orderBy(F.desc(value)))
+    ahead = F.aggregate(
+        F.filter("_counts", lambda c: c["_slice"] < F.col("_slice")),
+        F.lit(0).cast("bigint"),
+        lambda total, c: total + c["_n"],
+    )
+    ranked = placed.withColumn("_part", part).withColumn(name, inside).withColumn("_counts", before)
+    return ranked.withColumn(name, F.col(name) + ahead).drop("_slice", "_part", "_counts")
+
+
 def cumulative_share(df: DataFrame, value: str, tie_break: str) -> DataFrame:
     """Add ``cum`` and ``grand``: running total from the highest value down, and the total.
 
     A prefix sum in three steps, none of which needs all rows in one task:
 
-    1. Cut the rows into ranges of (value descending, tie break). The tie break is
-       unique, so even one value shared by a third of the rows is cut up. The slices
-       are pinned, because a recomputed range sample could move their borders.
-    2. Total each slice. There are at most as many as shuffle partitions, which bounds
-       both the one-task running total over them and what is broadcast.
+    1. Cut the rows into slices of (value descending, tie break), so that even one value
+       shared by a third of the rows is cut up, and shuffle them by slice, once.
+    2. Total each slice. There are at most ``2 * SLICES ** 2``, which bounds both the
+       one-task running total over them and what is broadcast.
     3. Run the total inside each slice, from where the slices before it ended.
     """
-    slices = pinned(
-        df.repartitionByRange(F.desc(value), F.asc(tie_break)).withColumn(
-            "_slice", F.spark_partition_id()
-        )
-    )
-    exact = F.col(value).cast("decimal(20,0)")
-    totals = slices.groupBy("_slice").agg(F.sum(exact).alias("_total"))
+    slices = _sliced(df, value, tie_break).repartition("_slice")
+    exact = F.coalesce(F.col(value), F.lit(0)).cast("decimal(20,0)")
+    # The tie break is counted so that both uses of the slices read the same shuffle.
+    totals = slices.groupBy("_slice").agg(F.sum(exact).alias("_total"), F.count(tie_break).alias("_n"))
+    totals = totals.where("_n >= 0")
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing

@@ -202,7 +202,8 @@ def share_of_neighbourhood(lake):
 def neighbourhoods_ranked(lake):
     paid = _settled(lake.payments_in(lake.span(400, QUARTER)))
     totals = lake.payment_totals(paid, listing=["neighbourhood"])
-    return _in_dollars(totals.withColumn("rank", windows.ranked("cents")), "neighbourhood", rank="rank")
+    ranked = windows.global_rank(totals, "cents", "rank")
+    return _in_dollars(ranked, "neighbourhood", rank="rank")
 
 
 @_workload("q14_mom_delta", "Revenue against the month before", "window, summary")
