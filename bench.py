@@ -41,7 +41,7 @@ def main() -> None:
 
     started = time.perf_counter()
     path = fresh_scratch(spark, "bench")
-    layouts.write_tuned_layout(spark, path, layouts.star_tables(lake))
+    layouts.write_tuned_layout(spark, path, layouts.star_tables(lake), layouts.facts_of(lake))
     build = time.perf_counter() - started
     tuned = time_workloads(load_layout(spark, path, mapped.START, by_month=True), runs)
 

@@ -29,7 +29,7 @@ def _plain_files(scale: Scale) -> dict[str, int]:
 def build(spark: SparkSession, out: str, scale: Scale, with_csv: bool) -> None:
     tables = scale.tables(spark)
     layouts.write_plain_layout(f"{out}/plain", tables, _plain_files(scale))
-    layouts.write_tuned_layout(spark, f"{out}/tuned", tables, scale)
+    layouts.write_tuned_layout(spark, f"{out}/tuned", tables)
     if with_csv:
         layouts.write_csv_copy(out, tables)
 

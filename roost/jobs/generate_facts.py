@@ -27,7 +27,7 @@ def run(
     for dataset in DATASETS if domain == "all" else (domain,):
         rows = scale.rows(dataset)
         print(f"{dataset}: {rows:,} rows")
-        write_tuned(tables[dataset], f"{out.rstrip('/')}/{dataset}", TUNED[dataset], rows)
+        write_tuned(tables[dataset], f"{out.rstrip('/')}/{dataset}", TUNED[dataset])
         written[dataset] = rows
     return written
 

@@ -3,14 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from roost.plans import star
 from roost.plans.marketplace import Marketplace
-from roost.sinks.layout import TUNED, write_csv, write_plain, write_tuned
+from roost.sinks.layout import (
+    TUNED,
+    is_even,
+    rows_per_key,
+    write_bucketed,
+    write_csv,
+    write_plain,
+    write_tuned,
+)
 from roost.sources.stored import load_layout
-from roost.sources.synthetic import START, Scale
+from roost.sources.synthetic import START
+
+# Facts that are joined with each other, by ``booking_id``.
+BUCKETED = ("transactions", "bookings")
 
 
 def star_tables(lake: Marketplace) -> dict[str, DataFrame]:
@@ -23,15 +35,64 @@ def star_tables(lake: Marketplace) -> dict[str, DataFrame]:
 
 
 def write_tuned_layout(
-    spark: SparkSession, base: str, tables: Mapping[str, DataFrame], scale: Scale | None = None
+    spark: SparkSession,
+    base: str,
+    tables: Mapping[str, DataFrame],
+    counted: Mapping[str, DataFrame] | None = None,
 ) -> None:
-    """Write the star, then the summary from the pruned files just written."""
+    """Write the star, then the summary from the pruned files just written.
+
+    ``counted`` names tables whose days stand for those of a table that costs more to read,
+    such as payments before they are joined to their listings.
+    """
     base = base.rstrip("/")
     for dataset, df in tables.items():
-        rows = scale.rows(dataset) if scale else None
-        write_tuned(df, f"{base}/{dataset}", TUNED[dataset], rows)
+        days = (counted or {}).get(dataset)
+        counts = rows_per_key(days, TUNED[dataset]) if days is not None else None
+        write_tuned(df, f"{base}/{dataset}", TUNED[dataset], counts)
     lake = load_layout(spark, base, START, by_month=True)
-    write_tuned(star.summary_listing_month(lake), f"{base}/summary", TUNED["summary"])
+    write_tuned(
+        star.summary_listing_month(lake),
+        f"{base}/summary",
+        TUNED["summary"],
+        # As many payments as a month has, it has at most so many listings.
+        rows_per_key(lake.payments, TUNED["summary"]),
+    )
+
+
+def facts_of(lake: Marketplace) -> dict[str, DataFrame]:
+    """The facts as they are stored, for counting their days."""
+    return {"transactions": lake.payments, "bookings": lake.bookings, "reviews": lake.reviews}
+
+
+def write_bucketed_layout(
+    spark: SparkSession, base: str, database: str, lake: Marketplace, buckets: int
+) -> bool:
+    """Payments and bookings cut by ``booking_id``, as tables of ``database``.
+
+    Where one booking has so many payments that its bucket would be a task's burden, nothing
+    is written and the answer is False: joins by shuffle, which Spark splits at run time,
+    then stay the better way.
+    """
+    tables = star_tables(lake)
+    if not all(is_even(df, "booking_id", buckets) for df in (lake.payments, lake.bookings)):
+        return False
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for dataset in BUCKETED:
+        write_bucketed(
+            tables[dataset], f"{database}.{dataset}", f"{base}/{dataset}", TUNED[dataset], "booking_id", buckets
+        )
+    return True
+
+
+def with_buckets(spark: SparkSession, lake: Marketplace, database: str) -> Marketplace:
+    """The layout with payments and bookings read from their buckets."""
+    return replace(
+        lake,
+        payments=spark.table(f"{database}.transactions"),
+        bookings=spark.table(f"{database}.bookings"),
+        by_month=True,
+    )
 
 
 def write_plain_layout(

@@ -14,14 +14,16 @@ from roost.operators.dedupe import first_per_key
 from roost.operators.pruning import in_days
 from roost.operators.quality import GATES
 from roost.paths import DATASETS, LakePaths
-from roost.plans import analyst_sql, marts, star
+from roost.plans import analyst_sql, layouts, marts, star
 from roost.plans.workloads import WORKLOADS
 from roost.session import fresh_scratch
-from roost.sinks.layout import TUNED, write_tuned
+from roost.sinks.layout import TUNED, rows_per_key, write_tuned
 from roost.sinks.tables import land
 from roost.sources import mapped, synthetic
 from roost.sources.raw import count_landed
 
+BUCKETS = 4
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 REGISTRY: dict[str, Query] = {}
@@ -125,13 +127,32 @@ def _tuned_month_read(spark, sf_dir):
     """Write the tuned payments, then read 30 days through their month directories."""
     lake = mapped.marketplace(spark, sf_dir)
     path = fresh_scratch(spark, "tuned")
-    write_tuned(star.fact_transactions(lake), path, TUNED["transactions"])
+    counts = rows_per_key(lake.payments, TUNED["transactions"])
+    write_tuned(star.fact_transactions(lake), path, TUNED["transactions"], counts)
     tuned = in_days(spark.read.parquet(path), "txn_date", lake.span(120, 30), "txn_month")
     return tuned.groupBy("txn_month", "status").agg(
         dollars(total_cents()).alias("total"), F.count(F.lit(1)).alias("n")
     )
 
 
+def _over_buckets(plan) -> Query:
+    """A workload over payments and bookings written in buckets of ``booking_id``."""
+
+    def query(spark, sf_dir):
+        lake = mapped.marketplace(spark, sf_dir)
+        base = fresh_scratch(spark, "buckets")
+        database = base.rsplit("/", 1)[1].replace("-", "_")
+        if layouts.write_bucketed_layout(spark, base, database, lake, BUCKETS):
+            lake = layouts.with_buckets(spark, lake, database)
+        return plan(lake)
+
+    return query
+
+
+for _key in ("q05_txn_booking_join", "q06_three_way_join", "q17_conversion"):
+    REGISTRY[f"{_key}_bucketed"] = _over_buckets(WORKLOADS[_key].plan)
+
+
 @_register("synth_status_months")
 def _synth_status_months(spark, sf_dir):
     """Generated payments, one per payment of the source, counted by status and month."""

@@ -23,7 +23,7 @@ def tuned(spark, tmp_path_factory):
 
     base = str(tmp_path_factory.mktemp("tuned"))
     scale = Scale(20_000, 6_000, 6_000, 500)
-    write_tuned_layout(spark, base, scale.tables(spark), scale)
+    write_tuned_layout(spark, base, scale.tables(spark))
     return load_layout(spark, base, START, by_month=True)
 
 
