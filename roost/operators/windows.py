@@ -41,31 +41,38 @@ def top_per_group(df: DataFrame, group: str, value: str, n: int, rank_name: str)
     return df.withColumn(rank_name, F.dense_rank().over(highest_first)).where(F.col(rank_name) <= n)
 
 
-def _sliced(df: DataFrame, value: str, tie_break: str | None = None) -> DataFrame:
-    """Add ``_slice``, numbered in the order of ``value`` from the highest down.
-
-    The borders are ``SLICES`` quantiles from a sketch, one small aggregate that runs as a
-    subquery of the plan: no job of its own, one result for all tasks of the query, repeated
-    ones too. A value that is itself a border, so any value of more than a ``SLICES``-th of
-    the rows, gets a slice of its own, odd by number; with a (numeric) tie break this is cut
-    by the tie break's quantiles in turn. How exact the sketch is decides how even slices
-    are, never the order. NULL comes last, in an odd slice too.
+_STEPS = f"array({', '.join(f'{i}D/{SLICES}' for i in range(1, SLICES))})"
+
+
+def _sliced_sql(value: str, tie_break: str | None = None) -> str:
+    """``borders`` and ``sliced``: the rows of ``{rows}`` with their number of slice, ``_slice``.
+
+    Slices follow the order of ``value`` from the highest down. The borders are ``SLICES``
+    quantiles from a sketch, one small aggregate that runs as a subquery of the plan: no job
+    of its own, one result for all tasks of the query, repeated ones too. A value that is
+    itself a border, so any value of more than a ``SLICES``-th of the rows, gets a slice of
+    its own, odd by number; with a (numeric) tie break this is cut by the tie break's
+    quantiles in turn. How exact the sketch is decides how even slices are, never the order.
+    NULL comes last, in an odd slice too.
     """
-    steps = [i / SLICES for i in range(1, SLICES)]
-    quantiles = lambda c: F.array_distinct(F.percentile_approx(c, steps, 100 * SLICES))
-    wanted = [quantiles(value).alias("values")]
-    if tie_break:
-        wanted.append(quantiles(tie_break).alias("ties"))
-    with_borders = df.withColumn("_borders", df.agg(F.struct(*wanted)).scalar())
-    borders = F.col("_borders")
-    above = F.size(F.filter(borders["values"], lambda b: b > F.col(value)))
-    shared = F.coalesce(F.array_contains(borders["values"], F.col(value)), F.lit(False))
-    place = F.when(F.col(value).isNull(), 2 * SLICES + 1).otherwise(2 * above + shared.cast("int"))
+    quantiles = lambda c: f"array_distinct(percentile_approx({c}, {_STEPS}, {100 * SLICES}))"
+    shared = f"coalesce(array_contains(_borders.of_values, {value}), false)"
+    place = f"""CASE WHEN {value} IS NULL THEN {2 * SLICES + 1}
+      ELSE 2 * size(filter(_borders.of_values, b -> b > {value})) + int({shared}) END"""
+    ties = "NULL"
     if tie_break:
-        inside = F.size(F.filter(borders["ties"], lambda b: b < F.col(tie_break)))
-        place = place * SLICES + F.when(shared, inside).otherwise(0)
+        ties = quantiles(tie_break)
+        inside = f"size(filter(_borders.of_ties, b -> b < {tie_break}))"
+        place = f"({place}) * {SLICES} + IF({shared}, {inside}, 0)"
     # Not nullable, so that joins on it add no null test that works it out once more.
-    return with_borders.withColumn("_slice", F.coalesce(place, F.lit(-1))).drop("_borders")
+    return f"""borders AS (SELECT struct({quantiles(value)} AS of_values, {ties} AS of_ties) AS b FROM {{rows}}),
+    bordered AS (SELECT *, (SELECT b FROM borders) AS _borders FROM {{rows}}),
+    sliced AS (SELECT * EXCEPT (_borders), coalesce({place}, -1) AS _slice FROM bordered)"""
+
+
+def sliced(df: DataFrame, value: str, tie_break: str | None = None) -> DataFrame:
+    """Add ``_slice``, a place in the order of ``value`` that rows of one task may share."""
+    return df.sparkSession.sql(f"WITH {_sliced_sql(value, tie_break)} SELECT * FROM sliced", rows=df)
 
 
 def global_rank(df: DataFrame, value: str, name: str) -> DataFrame:
@@ -76,18 +83,18 @@ def global_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     slice of one value all rows are first, so they are ranked where they are found and need
     not meet.
     """
-    placed = _sliced(df, value)
-    counts = placed.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.agg(F.collect_list(F.struct("_slice", "_n"))).scalar()
-    part = F.when(F.col("_slice") % 2 == 1, F.spark_partition_id()).otherwise(-1)
-    inside = F.rank().over(Window.partitionBy("_slice", "_part").orderBy(F.desc(value)))
-    ahead = F.aggregate(
-        F.filter("_counts", lambda c: c["_slice"] < F.col("_slice")),
-        F.lit(0).cast("bigint"),
-        lambda total, c: total + c["_n"],
+    return df.sparkSession.sql(
+        f"""WITH {_sliced_sql(value)},
+        counts AS (SELECT _slice, count(*) AS n FROM sliced GROUP BY _slice),
+        listed AS (SELECT collect_list(struct(_slice, n)) AS every FROM counts),
+        ranked AS (SELECT *, (SELECT every FROM listed) AS _every, rank() OVER (
+          PARTITION BY _slice, IF(_slice % 2 = 1, spark_partition_id(), -1) ORDER BY {value} DESC) AS _inside
+          FROM sliced)
+        SELECT * EXCEPT (_slice, _every, _inside), _inside + aggregate(
+          filter(_every, c -> c._slice < ranked._slice), 0L, (total, c) -> total + c.n) AS {name}
+        FROM ranked""",
+        rows=df,
     )
-    ranked = placed.withColumn("_part", part).withColumn(name, inside).withColumn("_counts", before)
-    return ranked.withColumn(name, F.col(name) + ahead).drop("_slice", "_part", "_counts")
 
 
 def cumulative_share(df: DataFrame, value: str, tie_break: str) -> DataFrame:
@@ -101,21 +108,19 @@ def cumulative_share(df: DataFrame, value: str, tie_break: str) -> DataFrame:
        one-task running total over them and what is broadcast.
     3. Run the total inside each slice, from where the slices before it ended.
     """
-    slices = _sliced(df, value, tie_break).repartition("_slice")
-    exact = F.coalesce(F.col(value), F.lit(0)).cast("decimal(20,0)")
-    # The tie break is counted so that both uses of the slices read the same shuffle.
-    totals = slices.groupBy("_slice").agg(F.sum(exact).alias("_total"), F.count(tie_break).alias("_n"))
-    totals = totals.where("_n >= 0")
-    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    starts = totals.select(
-        "_slice",
-        F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_total").over(everything).alias("grand"),
-    )
-    inside = Window.partitionBy("_slice").orderBy(F.desc(value), tie_break).rowsBetween(*_TO_HERE)
-    return slices.join(F.broadcast(starts), "_slice").select(
-        *df.columns, (F.col("_before") + F.sum(exact).over(inside)).alias("cum"), "grand"
+    exact = f"CAST(coalesce({value}, 0) AS DECIMAL(20,0))"
+    return df.sparkSession.sql(
+        f"""WITH {_sliced_sql(value, tie_break)},
+        dealt AS (SELECT /*+ REPARTITION(_slice) */ * FROM sliced),
+        -- The tie break is counted so that both uses of the slices read the same shuffle.
+        totals AS (SELECT _slice AS _of, sum({exact}) AS total, count({tie_break}) AS n FROM dealt GROUP BY _slice),
+        starts AS (SELECT _of,
+          coalesce(sum(total) OVER (ORDER BY _of ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before,
+          sum(total) OVER (ORDER BY _of ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS grand
+          FROM totals WHERE n >= 0)
+        SELECT /*+ BROADCAST(starts) */ * EXCEPT (_slice, _of, _before, grand), _before + sum({exact}) OVER (
+          PARTITION BY _slice ORDER BY {value} DESC, {tie_break}
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum, grand
+        FROM dealt JOIN starts ON _slice = _of""",
+        rows=df,
     )

@@ -5,7 +5,7 @@ from itertools import accumulate
 
 import pytest
 
-from roost.operators.windows import SLICES, _sliced, cumulative_share, global_rank, top_per_group
+from roost.operators.windows import SLICES, cumulative_share, global_rank, sliced, top_per_group
 from tests.conftest import plan_of
 
 
@@ -32,13 +32,13 @@ def test_equals_brute_force(spark, values):
 def test_slices_share_the_rows(spark):
     """No slice holds the tied third, though one value does."""
     df = spark.createDataFrame(tied(20000), "k BIGINT, v BIGINT")
-    sizes = [r["count"] for r in _sliced(df, "v", "k").groupBy("_slice").count().collect()]
+    sizes = [r["count"] for r in sliced(df, "v", "k").groupBy("_slice").count().collect()]
     assert max(sizes) < 20000 / 40 and len(sizes) < 2 * SLICES**2
 
 
 def test_slices_follow_the_order(spark):
     df = spark.createDataFrame(tied(3000) + [(-1, None), (-2, 2**62)], "k BIGINT, v BIGINT")
-    rows = [(r._slice, -r.v, r.k) for r in _sliced(df, "v", "k").collect() if r.v is not None]
+    rows = [(r._slice, -r.v, r.k) for r in sliced(df, "v", "k").collect() if r.v is not None]
     assert sorted(rows) == sorted(rows, key=lambda r: r[1:])
 
 
