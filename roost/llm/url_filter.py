@@ -18,6 +18,7 @@ import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
+from pathlib import Path
 from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
@@ -48,38 +49,14 @@ def rule(verdict: str, text: str) -> Rule:
     return Rule(verdict, host, slash + path)
 
 
-#: Addresses to learn from: hosts and paths to block, then ordinary ones.
-BLOCKED = tuple(
-    """casino-royal.example.com/ www.casino-win.example.net/play online-casino.example.org/slots
-casino-bonus.example.com/en/12 m.casino-spin.example.com/de/7 www.lucky-casino.example.net/fr/3
-free-bets.example.com/ best-bets.example.net/odds www.bets-now.example.org/en/5 sports-betting.example.com/live
-poker-free.example.com/ win-jackpot.example.net/en/44 www.free-spins.example.com/de/9
-cheap-pills.example.com/ www.cheap-viagra.example.net/buy online-pills.example.org/en/2
-pills-store.example.com/fr/6 discount-pharmacy.example.net/ weight-loss-pills.example.com/en/91
-spam-farm.example.com/ www.link-farm.example.net/en/8 spam-links.example.org/ seo-spam.example.com/de/17
-blog.spam-site.example.com/en/3 ads-track.example.com/ www.ad-tracker.example.net/pixel m.ads-track.example.net/en/6
-track-ads.example.org/click banner-ads.example.com/ popup-ads.example.net/fr/1 adserver.example.com/track
-adult-x.example.net/ www.adult-video.example.com/en/4 xxx-adult.example.org/ adult-chat.example.net/de/2
-porn-x.example.com/ www.xxx-cams.example.net/ hot-xxx.example.com/en/71 blog.adult-x.example.com/fr/8
-malware-download.example.com/exe free-crack.example.net/keygen phishing-login.example.org/verify
-payday-loans.example.com/ fast-cash-loans.example.net/en/5 replica-watches.example.com/ crypto-doubler.example.net/""".split()
-)
-ORDINARY = tuple(
-    """example.com/ www.example.com/ example.org/en/1 example.net/de/25 blog.example.com/en/7 m.example.org/fr/4
-www.example.net/es/90 news.example.com/en/3021 www.daily-news.example.org/de/77 m.weather.example.com/
-library.example.org/en/12 university.example.net/research www.museum.example.com/fr/8 docs.example.com/guide
-blog.gardening.example.net/en/55 cooking.example.com/recipes m.recipes.example.org/es/6 travel.example.net/de/19
-www.history.example.org/en/400 science.example.com/en/81 wiki.example.org/page forum.example.net/thread/9
-shop.example.com/en/15 www.bookstore.example.net/fr/31 music.example.org/de/8 blog.photography.example.com/en/64
-sports-results.example.net/en/7 m.football.example.com/de/3 www.city-council.example.org/en/2 health.example.com/fr/12
-www.hospital.example.net/de/5 school.example.org/es/44 kindergarten.example.com/de/1 www.farming.example.net/en/23
-the-river.example.org/en/18 m.mountains.example.com/fr/52 www.northern.example.net/en/9 theatre.example.org/de/61
-other-things.example.com/en/33 within.example.net/fr/27 m.these.example.org/en/5 thread.example.com/es/13
-station.example.net/de/40 blog.nations.example.com/en/6 www.able.example.org/en/75 tables.example.net/fr/2
-software.example.com/download www.engineering.example.org/en/10 maps.example.net/en/88 jobs.example.com/de/14
-m.library.example.net/en/511 www.earth.example.com/fr/73 ocean.example.org/en/29 blog.winter.example.net/de/36
-lists.example.com/en/1299.html www.letters.example.org/fr/6380/ archive.example.net/en/446 tech.example.com/en/7""".split()
-)
+#: Labelled addresses to learn from, one in a line: block or allow, a tab, host and path.
+LABELS = Path(__file__).with_name("url_labels.tsv")
+
+
+def labelled(path: Path = LABELS) -> tuple[list[str], list[str]]:
+    """Addresses to block and ordinary ones of a labelled table."""
+    rows = [line.split("\t") for line in path.read_text().splitlines() if line]
+    return [a for label, a in rows if label == "block"], [a for label, a in rows if label == "allow"]
 
 
 def with_parts(pages: DataFrame) -> DataFrame:
@@ -117,8 +94,10 @@ def address_grams(host: str, path: str) -> list[int]:
     return sorted({*(_buckets("host", host) if host else ()), *(_buckets("path", path) if path else ())})
 
 
-def train(blocked: Sequence[str] = BLOCKED, ordinary: Sequence[str] = ORDINARY, penalty: float = 1.0):
+def train(blocked: Sequence[str] | None = None, ordinary: Sequence[str] | None = None, penalty: float = 1.0):
     """Weights of the buckets, then the bias; the labelled table is small and given."""
+    if blocked is None or ordinary is None:
+        blocked, ordinary = labelled()
     addresses = [*blocked, *ordinary]
     x = np.zeros((len(addresses), BUCKETS), np.float32)
     for row, address in enumerate(addresses):
