@@ -4,9 +4,10 @@ A paragraph is a line with its line feed; a section ends after a blank line and
 paragraph whose digest is 0 modulo 8; a passage, the leaf, ends with the paragraph and
 after a word whose hash is 0 modulo 8. All borders depend on the content alone, so an edit
 changes the leaves it touches and the nodes above them, nothing else. Leaves cover every
-byte. The fingerprint is the root, then the leaves with the tree's shape, from which each
-node can be recomputed: equal roots mean equal texts, and going down differing nodes only
-locates an edit. The likeness of two fingerprints is the share of leaves in common, as
+byte. The fingerprint is the root, 128 bits of SHA-256 over the sections' digests, which
+are over the paragraphs', which are over the text itself: equal roots mean equal texts. It
+ends with the passages, as 32 bits each, in the tree's shape: they say how alike two texts
+are, and going down differing branches only locates an edit. The likeness of two fingerprints is the share of leaves in common, as
 2 * common / (leaves of both), repeated leaves counted.
 
 The next document, in the order of ids, is found on ids alone: they are range-sorted, and
@@ -46,6 +47,11 @@ def _node_hashes(children: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return W.mix(np.add.reduceat(placed, starts) + counts.astype(np.uint64))
 
 
+def _digest(kind: bytes, data: bytes) -> bytes:
+    """Nodes of different kinds never have equal input."""
+    return hashlib.sha256(kind + b"\0" + data).digest()
+
+
 class Tree:
     """``leaves`` (32-bit), where paragraphs start among them, and sections among those."""
 
@@ -56,7 +62,7 @@ class Tree:
         if not n:
             self.leaves = np.empty(0, np.uint32)
             self.paragraphs = self.sections = np.empty(0, np.int64)
-            self.digests = np.empty(0, np.uint64)
+            self.digests = []
             return
         up, down = W._powers(n)
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(W._BYTES[raw] * up)))
@@ -78,10 +84,14 @@ class Tree:
         blank = np.diff(np.append(lines, n)) == 1
         closing = blank | (digests % np.uint64(8) == 0)
         self.sections = np.concatenate(([0], np.flatnonzero(closing[:-1]) + 1))
-        self.digests = _node_hashes(digests, self.sections)
+        bounds = [*lines.tolist(), n]
+        self.digests = [_digest(b"paragraph", data[a:b]) for a, b in zip(bounds, bounds[1:])]
 
     def root(self) -> str:
-        return hashlib.sha256(self.digests.astype("<u8").tobytes()).hexdigest()[:32]
+        """Half a SHA-256 over the sections' digests, theirs over the paragraphs', theirs over the bytes."""
+        bounds = [*self.sections.tolist(), len(self.digests)]
+        sections = [_digest(b"section", b"".join(self.digests[a:b])) for a, b in zip(bounds, bounds[1:])]
+        return _digest(b"text", b"".join(sections)).hex()[:32]
 
     def fingerprint(self) -> str:
         """root:leaves, paragraphs apart by commas and sections by slashes."""
