@@ -12,29 +12,31 @@ machines are linear, its score is a mean of weights.
 
 The score is the product of the logistic values of the least margins on the way.
 A text that is null or has no letter is ``und`` with score 0; so is every text if nothing
-was learned. With one language learned, that is the answer, with score 1. Empty and very long
+was learned. Rows without an id are scored but never learned from, and not held out. With one language learned, that is the answer, with score 1. Empty and very long
 texts, ties and repeated rows need no special care; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roost.llm.store import keep
 from roost.llm.svm import fit_svm, sigmoid
 
 PER_LANGUAGE = 300
 BUCKETS = 8192
+_SENT = 300_000  # chosen rows that may be broadcast
 _SCALE = 30.0
 _PENALTY = 0.1
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _PLAIN = np.full(256, 32, np.uint8)
 _PLAIN[97:123] = np.arange(97, 123)
 _PLAIN[65:91] = np.arange(97, 123)
@@ -124,11 +126,14 @@ def families(vectors: dict[str, np.ndarray]) -> list[list[str]]:
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel | None:
     """Learn from the rows (doc_id, text, lang) given; None if no text has letters."""
+    docs = docs.filter("doc_id is not null")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "key")
     labelled = docs.select("doc_id", "lang", F.xxhash64("text").alias("key")).filter("lang is not null")
     # The row number keeps per_language rows of each language in every task, then of all.
     chosen = labelled.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= per_language)
-    chosen = chosen.select("doc_id", "lang", "key").distinct()
+    chosen = keep(chosen.select("doc_id", "lang", "key").distinct(), "chosen")
+    if chosen.count() <= _SENT:  # per_language for each language; texts then stay in place
+        chosen = F.broadcast(chosen)
     texts = docs.filter("text is not null and lang is not null").select(
         "doc_id", "lang", "text", F.xxhash64("text").alias("key")
     )

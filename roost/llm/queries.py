@@ -30,8 +30,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _fold(folds: int) -> Column:
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+def _in_fold(fold: int, folds: int) -> Column:
+    """Whether an id falls in a fold; a null id falls in none."""
+    code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return F.coalesce(code % folds == fold, F.lit(False))
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +47,7 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    held_out = _fold(5) == 0
+    held_out = _in_fold(0, 5)
     model = toxicity.train(docs, labels.filter(~held_out).select("doc_id", "toxic"))
     return toxicity.score(docs, model, held_out)
 
@@ -82,7 +84,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    held_out = _fold(3) == 1
+    held_out = _in_fold(1, 3)
     return language.identify(docs, language.train(docs.filter(~held_out)), held_out)
 
 
