@@ -16,15 +16,15 @@ def _count(text: str, piece: str) -> str:
 
 _MARKS = "length(regexp_replace(l, '[^#*$%&<>]+', '', 'g'))"
 _N = f"len({words('l')})"
-_NOTICE = (
-    "(ll rights reserved|erms of use|erms of service|rivacy policy|ookie policy|ses cookies"
-    "|nable javascript|nable JavaScript|ubscribe to our|orem ipsum|icensed under |eleased under )"
-)
+_NOTICES = " + ".join(_count("l", phrase) for phrase in (
+    "ll rights reserved", "erms of use", "erms of service", "rivacy policy", "ookie policy", "ses cookies",
+    "nable javascript", "nable JavaScript", "ubscribe to our", "orem ipsum", "icensed under ", "eleased under ",
+))
 _FAILS = f"""({_N} > 0 AND (({_MARKS} >= 3 AND {_MARKS} * 2 >= {_N})
     OR ({_count('l', '!!')} >= 3 AND {_count('l', '!!')} * 2 >= {_N})
     OR ({_count('l', '|')} >= 3 AND {_count('l', '|')} * 4 >= {_N})
     OR (n_stutters >= 3 AND n_stutters * 3 >= {_N})
-    OR regexp_matches(l, '{_NOTICE}')))"""
+    OR ({_NOTICES} > 0 AND ({_NOTICES}) * 20 >= {_N})))"""
 
 
 def quality(source: str) -> str:

@@ -20,7 +20,8 @@ sentences, with little weight.
 At most ``PER_LABEL`` labelled documents of each label are read for training, those of the
 least id hashes. Every text is scored as a whole. Null and empty texts have one empty
 sentence. Without both labels every score is 0. Repeated rows get equal scores; a document
-labelled twice counts as toxic if one label says so. Extra columns are ignored.
+labelled twice counts as toxic if one label says so. Rows without an id are scored but
+never learned from, and not held out. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -274,7 +275,11 @@ class Sentences:
         self.mapped = np.zeros((len(self.words), whiten.shape[1]), np.float32)
         for start in range(0, len(self.words), 8192):
             some = self.words[start : start + 8192]
-            self.mapped[start : start + len(some)] = kernel([w[:_PART] for w in some]) @ whiten
+            # Of a long word, the part closest to each landmark.
+            parts = [parts_of(w) for w in some]
+            near = kernel([p for own in parts for p in own])
+            firsts = np.cumsum([0, *map(len, parts[:-1])])
+            self.mapped[start : start + len(some)] = np.maximum.reduceat(near, firsts) @ whiten
 
     def values(self, weights: np.ndarray) -> np.ndarray:
         """The product of each sentence's vector with ``weights``."""
