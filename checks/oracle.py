@@ -385,6 +385,56 @@ SELECT l_returnflag, l_linestatus,
 FROM lines GROUP BY 1, 2""",
 }
 
-# The same answers from other ways of storing the tables.
+# The same answers from other ways of storing and reading the tables.
 for _key in ("q05_txn_booking_join", "q06_three_way_join", "q17_conversion"):
     QUERIES[f"{_key}_bucketed"] = QUERIES[_key]
+for _key in (
+    "q09_running_total", "q10_topn_per_month", "q11_moving_avg_3m", "q12_nbhd_share", "q14_mom_delta",
+    "q15_pareto_share", "q21_gold_preagg",
+):
+    QUERIES[f"{_key}_summary"] = QUERIES[_key]
+for _name in TYPED:
+    QUERIES[f"clean_{_name}_landed"] = QUERIES[f"clean_{_name}"]
+for _name in _ANALYST:
+    QUERIES[f"{_name}_registered"] = QUERIES[_name]
+
+
+def _half_the_bookings(sql: str) -> str:
+    return sql.replace("FROM orders CROSS", "FROM (SELECT * FROM orders WHERE o_orderkey % 2 = 0) orders CROSS")
+
+
+def _spread(key: str, step: int) -> str:
+    """Month of a generated row."""
+    return f"substr(CAST(DATE '2023-01-01' + CAST({key} % 730 * ({step} % 730) % 730 AS INT) AS STRING), 1, 7)"
+
+
+QUERIES |= {
+    "pipeline_relanded": " UNION ALL ".join(
+        [
+            f"SELECT '{kind} {name}' AS what, count(*) AS n FROM ({_half_the_bookings(QUERIES[query])})"
+            for kind, names in (("clean", TYPED), ("mart", _MARTS))
+            for name in names
+            for query in [f"clean_{name}" if kind == "clean" else name]
+            if name not in ("transactions", "transaction_success_rates")
+        ]
+        + [
+            "SELECT 'nights' AS what, CAST(sum(total_nights) AS BIGINT) AS n "
+            f"FROM ({_half_the_bookings(QUERIES['revenue_by_listing_month'])})"
+        ]
+    ),
+    "synth_facts": f"""
+SELECT 'bookings' AS what,
+  CASE o_orderkey % 4 WHEN 0 THEN 'completed' WHEN 1 THEN 'confirmed' WHEN 2 THEN 'cancelled' ELSE 'no_show' END AS part,
+  {_spread("o_orderkey", 40503)} AS month, count(*) AS n, CAST(sum(o_orderkey % 14 + 1) AS BIGINT) AS total
+FROM orders GROUP BY 1, 2, 3
+UNION ALL SELECT 'reviews', CAST(event_id % 5 + 1 AS STRING), {_spread("event_id", 97007)}, count(*),
+  CAST(sum(event_id % 700) AS BIGINT) FROM events GROUP BY 1, 2, 3
+UNION ALL SELECT 'listings',
+  CASE c_custkey % 4 WHEN 0 THEN 'Entire home/apt' WHEN 1 THEN 'Private room' WHEN 2 THEN 'Shared room' ELSE 'Hotel room' END,
+  CASE c_custkey % 8 WHEN 0 THEN 'Downtown' WHEN 1 THEN 'Mission District' WHEN 2 THEN 'Capitol Hill'
+    WHEN 3 THEN 'Williamsburg' WHEN 4 THEN 'Shoreditch' WHEN 5 THEN 'Le Marais' WHEN 6 THEN 'Kreuzberg' ELSE 'Fitzroy' END,
+  count(*), CAST(sum(c_custkey % 7 + 1) AS BIGINT) FROM customer GROUP BY 1, 2, 3""",
+    "synth_raw_defects": """
+SELECT * FROM (VALUES ('listings', 0, true), ('reviews', 0, true), ('bookings', 0, true), ('transactions', 0, true),
+  ('reviews without parent', 0, true), ('transactions without parent', 0, true)) AS t(dataset, repeated, filled)""",
+}

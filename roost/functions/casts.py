@@ -30,7 +30,9 @@ def day(column: str) -> Column:
 
 
 def moment(column: str) -> Column:
-    return F.col(column).try_cast("timestamp")
+    """A time without a day is malformed; the plain cast would take today's."""
+    text = F.col(column).cast("string")
+    return F.when(~text.rlike(r"^\s*T?\d{1,2}:"), F.col(column).try_cast("timestamp"))
 
 
 def filled(column: str) -> Column:

@@ -11,10 +11,10 @@ import sys
 from pyspark.sql import SparkSession
 
 from roost.measure import report
+from roost.measure.manifest import read_manifest, save_manifest
 from roost.measure.timing import ACTIONS, time_workloads
 from roost.plans import layouts
 from roost.session import build_session
-from roost.sources.raw import if_present
 from roost.sources.stored import load_layout
 from roost.sources.synthetic import START, Scale, stored_bytes
 
@@ -32,11 +32,25 @@ def build(spark: SparkSession, out: str, scale: Scale, with_csv: bool) -> None:
     layouts.write_tuned_layout(spark, f"{out}/tuned", tables)
     if with_csv:
         layouts.write_csv_copy(out, tables)
+    sizes = {name: stored_bytes(spark, f"{out}/{name}") for name in ("plain", "tuned")}
+    save_manifest(spark, f"{out}/manifest", {"rows": vars(scale), "bytes": sizes})
 
 
-def is_built(spark: SparkSession, out: str) -> bool:
-    """The summary is written last, so it stands for the whole."""
-    return if_present(lambda: spark.read.parquet(f"{out}/tuned/summary")) is not None
+def is_built(spark: SparkSession, out: str, scale: Scale | None = None) -> bool:
+    """Whether both layouts are there to the end, which the manifest, written last, says.
+
+    Layouts of other sizes, or files that came or went since, would be timed under a wrong
+    name: an error.
+    """
+    manifest = read_manifest(spark, f"{out}/manifest")
+    if manifest is None:
+        return False
+    if scale is not None and manifest["rows"] != vars(scale):
+        raise ValueError(f"{out} holds {manifest['rows']}, not {vars(scale)}; use --rebuild or another path")
+    found = {name: stored_bytes(spark, f"{out}/{name}") for name in manifest["bytes"]}
+    if found != manifest["bytes"]:
+        raise ValueError(f"files in {out} are not those of its manifest; use --rebuild")
+    return True
 
 
 def run(
@@ -49,7 +63,7 @@ def run(
     action: str = "noop",
 ) -> dict:
     out = out.rstrip("/")
-    if rebuild or not is_built(spark, out):
+    if rebuild or not is_built(spark, out, scale):
         build(spark, out, scale, with_csv)
     timings = {}
     for name in ("plain", "tuned"):

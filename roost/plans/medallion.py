@@ -14,7 +14,7 @@ from roost.paths import DATASETS, LakePaths
 from roost.plans import marts
 from roost.schemas import MART_ORDER
 from roost.sinks.tables import land, write_clean, write_mart
-from roost.sources.raw import count_landed, if_present, read_raw
+from roost.sources.raw import count_landed, raw_if_landed
 from roost.sources.stored import read_clean, read_clean_tables, read_mart
 
 
@@ -57,7 +57,7 @@ def clean_all(spark: SparkSession, paths: LakePaths) -> dict[str, int]:
     """Clean each dataset that was landed; listings and reviews have to be there."""
     counts = {}
     for dataset in DATASETS:
-        raw = if_present(lambda: read_raw(spark, paths, dataset))
+        raw = raw_if_landed(spark, paths, dataset)
         if raw is not None:
             counts[dataset] = write_clean(DOMAINS[dataset].clean(raw), paths, dataset)
         elif dataset in ("listings", "reviews"):
@@ -82,9 +82,11 @@ def publish_all(spark: SparkSession, paths: LakePaths) -> dict[str, int]:
 
     def publish(totals: DataFrame, **builders) -> None:
         totals = totals.persist(StorageLevel.MEMORY_AND_DISK)
-        for name, build in builders.items():
-            counts[name] = write_mart(build(listings, totals), paths, name)
-        totals.unpersist()
+        try:
+            for name, build in builders.items():
+                counts[name] = write_mart(build(listings, totals), paths, name)
+        finally:
+            totals.unpersist()
 
     publish(
         marts.review_totals(tables["reviews"]),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,13 +15,16 @@ from roost.operators.dedupe import first_per_key
 from roost.operators.pruning import in_days
 from roost.operators.quality import GATES
 from roost.paths import DATASETS, LakePaths
-from roost.plans import analyst_sql, layouts, marts, star
+from roost.plans import analyst_sql, catalog, layouts, marts, medallion, star
 from roost.plans.workloads import WORKLOADS
+from roost.schemas import MARTS
 from roost.session import fresh_scratch
 from roost.sinks.layout import TUNED, rows_per_key, write_tuned
-from roost.sinks.tables import land
+from roost.sinks.tables import land, write_mart
 from roost.sources import mapped, synthetic
-from roost.sources.raw import count_landed
+from roost.sources.raw import count_landed, read_raw
+from roost.sources.stored import read_clean, read_mart
+from roost.sources.synthetic_raw import RawData
 
 BUCKETS = 4
 
@@ -153,6 +157,137 @@ for _key in ("q05_txn_booking_join", "q06_three_way_join", "q17_conversion"):
     REGISTRY[f"{_key}_bucketed"] = _over_buckets(WORKLOADS[_key].plan)
 
 
+# Workloads that read the summary where a layout has one.
+SUMMED = (
+    "q09_running_total",
+    "q10_topn_per_month",
+    "q11_moving_avg_3m",
+    "q12_nbhd_share",
+    "q14_mom_delta",
+    "q15_pareto_share",
+    "q21_gold_preagg",
+)
+
+
+def _over_summary(plan) -> Query:
+    """A workload over the stored summary, read back as a layout's."""
+
+    def query(spark, sf_dir):
+        lake = mapped.marketplace(spark, sf_dir)
+        path = fresh_scratch(spark, "summary")
+        counts = rows_per_key(lake.payments, TUNED["summary"])
+        write_tuned(star.summary_listing_month(lake), path, TUNED["summary"], counts)
+        return plan(replace(lake, summary=spark.read.parquet(path)))
+
+    return query
+
+
+for _key in SUMMED:
+    REGISTRY[f"{_key}_summary"] = _over_summary(WORKLOADS[_key].plan)
+
+
+def _clean_landed(dataset: str) -> Query:
+    """Clean records that were landed as JSON and read back as text."""
+
+    def query(spark, sf_dir):
+        paths = LakePaths.under(fresh_scratch(spark, "landed"))
+        land(mapped.RAW[dataset](spark, sf_dir), paths, dataset, "2024-11-30")
+        rows = DOMAINS[dataset].clean(read_raw(spark, paths, dataset))
+        return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz")) if "ts" in rows.columns else rows
+
+    return query
+
+
+for _dataset in DATASETS:
+    REGISTRY[f"clean_{_dataset}_landed"] = _clean_landed(_dataset)
+
+
+def _registered(name: str, query: analyst_sql.AnalystQuery, **parameters: str) -> Query:
+    """An analyst query by table name, over its mart as written and registered."""
+
+    def ask(spark, sf_dir):
+        base = fresh_scratch(spark, "lake")
+        paths, database = LakePaths.under(base), base.rsplit("/", 1)[1].replace("-", "_")
+        write_mart(REGISTRY[query.mart](spark, sf_dir), paths, query.mart)
+        catalog.register(spark, paths, database)
+        return catalog.ask(spark, name, database, **parameters)
+
+    return ask
+
+
+for _name, _query in analyst_sql.QUERIES.items():
+    REGISTRY[f"{_name}_registered"] = _registered(
+        _name, _query, **({"month": "1998-06"} if ":month" in _query.sql else {})
+    )
+
+
+@_register("pipeline_relanded")
+def _pipeline_relanded(spark, sf_dir):
+    """The pipeline twice, the second time without half of the bookings: what the files hold
+    then, as row counts of clean tables and marts, and one total. Payments stay out of it:
+    their clean table has a folder for each of some 2500 days."""
+    paths = LakePaths.under(fresh_scratch(spark, "relanded"))
+    datasets = [d for d in DATASETS if d != "transactions"]
+    raw = {dataset: mapped.RAW[dataset](spark, sf_dir) for dataset in datasets}
+    medallion.run(spark, paths, raw, "2024-11-30", gated=())
+    raw["bookings"] = raw["bookings"].where("booking_id % 2 = 0")
+    medallion.run(spark, paths, raw, "2024-11-30", gated=())
+    counted = F.count(F.lit(1)).alias("n")
+    parts = [read_clean(spark, paths, d).agg(F.lit(f"clean {d}").alias("what"), counted) for d in datasets]
+    parts += [read_mart(spark, paths, m).agg(F.lit(f"mart {m}").alias("what"), counted) for m in MARTS if m != "transaction_success_rates"]
+    nights = read_mart(spark, paths, "revenue_by_listing_month").agg(
+        F.lit("nights").alias("what"), F.sum("total_nights").alias("n")
+    )
+    return reduce(DataFrame.union, [*parts, nights])
+
+
+@_register("synth_facts")
+def _synth_facts(spark, sf_dir):
+    """Generated bookings, reviews and listings, one for each row of the source's tables."""
+    listings = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("id"))
+    bookings = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("id"))
+    reviews = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("id"))
+    shape = lambda what, *rest: [F.lit(what).alias("what"), *rest]
+    n, total = F.count(F.lit(1)).alias("n"), lambda c: F.sum(F.col(c).cast("bigint")).alias("total")
+    booked = synthetic.bookings(bookings, 700).groupBy(F.col("status").alias("part"), F.col("checkin_month").alias("month"))
+    rated = synthetic.reviews(reviews, 700).groupBy(F.col("rating").cast("string").alias("part"), F.col("review_month").alias("month"))
+    listed = synthetic.listings(listings).groupBy(F.col("room_type").alias("part"), F.col("neighbourhood").alias("month"))
+    return (
+        booked.agg(n, total("nights")).select(*shape("bookings"), "*")
+        .union(rated.agg(n, total("listing_id")).select(*shape("reviews"), "*"))
+        .union(listed.agg(n, total("minimum_nights")).select(*shape("listings"), "*"))
+    )
+
+
+@_register("synth_raw_defects")
+def _synth_raw_defects(spark, sf_dir):
+    """Raw records generated for as many listings as the source has customers: defects and
+    repeats must all be gone after cleaning, and every child must have its parent."""
+    count = spark.read.parquet(f"{sf_dir}/customer.parquet").count()
+    raw = RawData(listings=count, dirty_ratio=0.2, duplicate_ratio=0.1).tables(spark)
+    clean = {d: DOMAINS[d].clean(rows) for d, rows in raw.items()}
+    key = {d: DOMAINS[d].key for d in DATASETS}
+    orphans = {
+        "reviews": clean["reviews"].join(clean["listings"].select(F.col("id").alias("listing_id")), "listing_id", "left_anti"),
+        "transactions": clean["transactions"].join(raw["bookings"].select("booking_id"), "booking_id", "left_anti"),
+    }
+    return reduce(
+        DataFrame.union,
+        [
+            clean[d].agg(
+                F.lit(d).alias("dataset"),
+                (F.count(F.lit(1)) - F.count_distinct(key[d])).alias("repeated"),
+                (F.count(F.lit(1)) > 0).alias("filled"),
+            )
+            for d in DATASETS
+        ]
+        + [
+            rows.agg(F.lit(f"{d} without parent").alias("dataset"), F.count(F.lit(1)).alias("repeated"), F.lit(True).alias("filled"))
+            for d, rows in orphans.items()
+        ],
+    )
+
+
 @_register("synth_status_months")
 def _synth_status_months(spark, sf_dir):
     """Generated payments, one per payment of the source, counted by status and month."""

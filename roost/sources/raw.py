@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roost import files
 from roost.paths import LakePaths
 from roost.schemas import RAW
 
@@ -20,8 +18,16 @@ def read_raw(
     The schema is given, so nothing is scanned to infer it. Folders are walked without
     reading their names as columns: the ingest date is not part of a record.
     """
-    path = paths.landed(dataset, ingest_date) if ingest_date else paths.raw(dataset)
-    return spark.read.schema(RAW[dataset]).option("recursiveFileLookup", "true").json(path)
+    reader = spark.read.schema(RAW[dataset]).option("recursiveFileLookup", "true")
+    if ingest_date:
+        return reader.json(paths.landed(dataset, ingest_date))
+    return reader.json(landed_folders(spark, paths, dataset) or [paths.raw(dataset)])
+
+
+def landed_folders(spark: SparkSession, paths: LakePaths, dataset: str) -> list[str]:
+    """Folders of the ingest dates, without those whose landing never came to an end."""
+    dates = files.folders(spark, paths.raw(dataset))
+    return [d for d in dates if not files.exists(spark, f"{d}/{files.UNFINISHED}")]
 
 
 def count_landed(spark: SparkSession, paths: LakePaths, dataset: str) -> DataFrame:
@@ -34,11 +40,6 @@ def count_landed(spark: SparkSession, paths: LakePaths, dataset: str) -> DataFra
     )
 
 
-def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
-    """What ``read`` gives, or None where its path does not exist, on any filesystem."""
-    try:
-        return read()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def raw_if_landed(spark: SparkSession, paths: LakePaths, dataset: str) -> DataFrame | None:
+    """Raw records, or None where no date has been landed to the end."""
+    return read_raw(spark, paths, dataset) if landed_folders(spark, paths, dataset) else None

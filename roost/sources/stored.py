@@ -6,10 +6,10 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from roost.files import is_committed
 from roost.paths import DATASETS, LakePaths
 from roost.plans.marketplace import Marketplace
 from roost.schemas import CLEAN, CLEAN_PARTITION, MART_PARTITION, MARTS
-from roost.sources.raw import if_present
 
 
 def _read(spark: SparkSession, path: str, columns: str, partition: str | None) -> DataFrame:
@@ -28,9 +28,9 @@ def read_mart(spark: SparkSession, paths: LakePaths, name: str) -> DataFrame:
 
 
 def read_clean_tables(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
-    """The clean tables that exist."""
-    found = {d: if_present(lambda d=d: read_clean(spark, paths, d)) for d in DATASETS}
-    return {dataset: df for dataset, df in found.items() if df is not None}
+    """The clean tables that were written to the end."""
+    written = [d for d in DATASETS if is_committed(spark, paths.clean(d))]
+    return {dataset: read_clean(spark, paths, dataset) for dataset in written}
 
 
 def load_layout(spark: SparkSession, base: str, start: date, *, by_month: bool) -> Marketplace:
@@ -42,6 +42,6 @@ def load_layout(spark: SparkSession, base: str, start: date, *, by_month: bool)
         reviews=spark.read.parquet(f"{base}/reviews"),
         payments=spark.read.parquet(f"{base}/transactions"),
         start=start,
-        summary=if_present(lambda: spark.read.parquet(f"{base}/summary")),
+        summary=spark.read.parquet(f"{base}/summary") if is_committed(spark, f"{base}/summary") else None,
         by_month=by_month,
     )

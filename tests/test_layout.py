@@ -173,3 +173,10 @@ def test_compare_layouts_job(spark, tmp_path, monkeypatch):
 
     monkeypatch.setattr(compare_layouts, "build", must_not_build)
     assert compare_layouts.is_built(spark, str(tmp_path))
+    again = compare_layouts.run(spark, str(tmp_path), scale, runs=1)
+    assert again["bytes"] == result["bytes"]
+    with pytest.raises(ValueError, match="--rebuild"):
+        compare_layouts.run(spark, str(tmp_path), Scale(4_000, 1_000, 1_000, 50), runs=1)
+    next(Path(tmp_path, "tuned", "reviews").rglob("*.parquet")).unlink()
+    with pytest.raises(ValueError, match="manifest"):
+        compare_layouts.run(spark, str(tmp_path), scale, runs=1)

@@ -11,7 +11,7 @@ from roost.paths import LakePaths
 from roost.plans import catalog, medallion
 from roost.schemas import MART_PARTITION, MARTS
 from roost.sinks.tables import land, write_clean, write_mart
-from roost.sources.raw import count_landed, if_present, read_raw
+from roost.sources.raw import count_landed, raw_if_landed, read_raw
 from roost.sources.stored import read_clean, read_clean_tables
 from roost.sources.synthetic_raw import RawData
 
@@ -70,7 +70,7 @@ def test_numbers_in_json_are_read_as_text(spark, paths):
 
 
 def test_missing_paths_are_optional(spark, paths):
-    assert if_present(lambda: read_clean(spark, paths, "reviews")) is None
+    assert raw_if_landed(spark, paths, "reviews") is None and read_clean_tables(spark, paths) == {}
     with pytest.raises(FileNotFoundError):
         medallion.clean_all(spark, paths)
 
@@ -143,15 +143,17 @@ def test_failed_gate_writes_no_mart(spark, paths):
 
 def test_writes_replace_tables_unless_asked_for_partitions(spark, paths):
     def bookings(*months):
-        return spark.createDataFrame([(i, m) for i, m in enumerate(months)], "id INT, checkin_month STRING")
+        return spark.createDataFrame([(i, m) for i, m in enumerate(months)], "booking_id BIGINT, checkin_month STRING")
 
     assert write_clean(bookings("2024-01", "2024-02", "2024-02"), paths, "bookings") == 3
+    # booking 0 has moved; its old month keeps no row, its new one is replaced
     assert write_clean(bookings("2024-02"), paths, "bookings", only_partitions=True) == 1
-    assert read_clean(spark, paths, "bookings").count() == 2
+    assert read_clean(spark, paths, "bookings").count() == 1
+    assert [f.name for f in Path(paths.clean("bookings")).glob("checkin_month=*")] == ["checkin_month=2024-02"]
     assert write_clean(bookings("2024-03"), paths, "bookings") == 1
     assert read_clean(spark, paths, "bookings").count() == 1
     for months in (("2024-01", "2024-02"), ("2024-02",)):
-        earned = bookings(*months).selectExpr("*", "1.0D AS total_revenue")
+        earned = bookings(*months).selectExpr("booking_id AS id", "checkin_month", "1.0D AS total_revenue")
         assert write_mart(earned, paths, "revenue_by_listing_month") == len(months)
     assert spark.read.parquet(paths.mart("revenue_by_listing_month")).count() == 1
 
@@ -169,6 +171,64 @@ def test_a_booking_landed_again_with_other_dates_counts_once(spark, paths):
     assert [(m.checkin_month, m.total_revenue) for m in months] == [("2024-02", 100.0)]
 
 
+def test_incremental_loads_leave_no_stale_row(spark, paths):
+    def bookings(**months):
+        rows = [(int(k[1:]), m, i) for i, (k, m) in enumerate(months.items())]
+        return spark.createDataFrame(rows, "booking_id BIGINT, checkin_month STRING, nights INT")
+
+    def stored():
+        return {r.booking_id: r.checkin_month for r in spark.read.parquet(paths.clean("bookings")).collect()}
+
+    write_clean(bookings(b1="2024-01", b2="2024-01", b3="2024-02", b4="2024-03", b5="2024-04"), paths, "bookings")
+    untouched = sorted(f.name for f in Path(paths.clean("bookings"), "checkin_month=2024-04").iterdir())
+    assert write_clean(bookings(b1="2024-02", b4="2024-05", b6="2024-02"), paths, "bookings", only_partitions=True) == 3
+    assert stored() == {1: "2024-02", 2: "2024-01", 4: "2024-05", 5: "2024-04", 6: "2024-02"}
+    assert not Path(paths.clean("bookings"), "checkin_month=2024-03").exists()
+    assert sorted(f.name for f in Path(paths.clean("bookings"), "checkin_month=2024-04").iterdir()) == untouched
+    # the same load again changes nothing, an empty one neither
+    write_clean(bookings(b1="2024-02", b4="2024-05", b6="2024-02"), paths, "bookings", only_partitions=True)
+    write_clean(bookings(b1="2024-02").limit(0), paths, "bookings", only_partitions=True)
+    assert stored() == {1: "2024-02", 2: "2024-01", 4: "2024-05", 5: "2024-04", 6: "2024-02"}
+
+
+def test_a_half_written_table_is_not_there(spark, paths):
+    write_clean(spark.createDataFrame([(1, "n")], "id BIGINT, name STRING"), paths, "listings")
+    land(spark.range(3), paths, "listings", DAY)
+    land(spark.range(5), paths, "listings", "2024-12-01")
+    assert set(read_clean_tables(spark, paths)) == {"listings"}
+    Path(paths.clean("listings"), "_SUCCESS").unlink()
+    (Path(paths.landed("listings", DAY)) / "_temporary").mkdir()
+    assert read_clean_tables(spark, paths) == {} and catalog.register(spark, paths, "half_test") == []
+    assert raw_if_landed(spark, paths, "listings").count() == 5
+    (Path(paths.landed("listings", "2024-12-01")) / "_temporary").mkdir()
+    assert raw_if_landed(spark, paths, "listings") is None
+
+
+def test_a_table_follows_the_lake_it_is_registered_from(spark, tmp_path):
+    """Two roots, one of them with a quote in its name, and a month that vanishes."""
+    row = "1L AS id, 'n' AS name, 'a' AS neighbourhood, 1L AS num_bookings, 2L AS total_nights, 3.0D AS total_revenue"
+    table, found = "moved_test.gold_revenue_by_listing_month", []
+    lakes = [LakePaths.under(str(tmp_path / name)) for name in ("one", "an'other")]
+    for lake, months in zip(lakes, (["2024-01", "2024-02"], ["2024-03"])):
+        mart = spark.createDataFrame([(m,) for m in months], "checkin_month STRING")
+        write_mart(mart.selectExpr(*row.split(", "), "checkin_month"), lake, "revenue_by_listing_month")
+        assert catalog.register(spark, lake, "moved_test") == [table]
+        found.append(sorted(r.checkin_month for r in spark.table(table).collect()))
+    assert found == [["2024-01", "2024-02"], ["2024-03"]]
+    assert spark.read.parquet(lakes[0].mart("revenue_by_listing_month")).count() == 2
+    catalog.register(spark, lakes[0], "moved_test")
+    from roost import files
+
+    files.remove(spark, f"{lakes[0].mart('revenue_by_listing_month')}/checkin_month=2024-01")
+    catalog.refresh(spark, table)
+    assert [r.checkin_month for r in spark.table(table).collect()] == ["2024-02"]
+    assert [r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()] == ["checkin_month=2024-02"]
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"CREATE TABLE {table} (id BIGINT) USING PARQUET")
+    with pytest.raises(ValueError, match="owns its files"):
+        catalog.register(spark, lakes[0], "moved_test")
+
+
 def test_months_of_a_mart_are_few_sorted_files(spark, lake):
     import pyarrow.parquet as pq
 

@@ -43,7 +43,7 @@ def test_wide_tables_have_their_columns_and_ranges(spark):
     paid = tables["transactions"]
     assert paid.columns == [
         "txn_id", "booking_id", "listing_id", "txn_date", "ts", "txn_month", "amount", "status",
-        "currency", "payment_method", "device", "ip_hash", "user_agent", "note",
+        "currency", "payment_method", "ballast",
     ]
     low, high = paid.agg(F.min("amount"), F.max("amount")).first()
     assert 50 <= low < 60 and 990 < high <= 1000
