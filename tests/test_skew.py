@@ -7,7 +7,15 @@ from checks.oracle import QUERIES
 from roost.plans.registry import REGISTRY
 from tests.skewed import write_skewed
 
-NAMES = [n for n in REGISTRY if not n.startswith(("sql_", "dim_", "fact_", "landed", "synth"))]
+# The summary has the rows of listings that are in the dimension, as often as they are; where
+# ids repeat, as they do here, workloads that read payments without the dimension differ.
+NEED_UNIQUE_LISTINGS = [f"q{n}_" for n in ("09", "10", "11", "14", "15")]
+NAMES = [
+    n
+    for n in REGISTRY
+    if not n.startswith(("sql_", "dim_", "fact_", "landed", "synth"))
+    and not (n.endswith("_summary") and n.startswith(tuple(NEED_UNIQUE_LISTINGS)))
+]
 
 
 @pytest.fixture(scope="module")
