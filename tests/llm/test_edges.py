@@ -2,13 +2,15 @@
 
 import hashlib
 import re
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
 
 from checks.compare import connect, difference
-from roost.llm import fingerprints, language, pii, quality, toxicity, url_filter
+from roost.llm import fingerprints, language, pii, quality, token_counts, toxicity, url_filter
 from roost.llm.oracle import ORACLE
 from roost.llm.queries import QUERIES, _in_fold
 
@@ -135,6 +137,24 @@ def test_addresses_against_each_worked_out_alone(spark):
         assert found.verdict == best[0]
 
 
+def test_tokens_of_each_line_one_by_one(spark):
+    """Each token goes to the line that holds its middle byte, of two middle ones the earlier."""
+    encoding, _ = token_counts._encoding(public_tokenizers.path(token_counts.TOKENIZER))
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{TINY}/documents.parquet").collect()}
+    found = defaultdict(list)
+    for r in QUERIES["op10_token_counts"](spark, TINY).collect():
+        found[r.doc_id].append((r.section, r.n_tokens))
+    assert set(found) == set(texts)
+    for doc_id, text in texts.items():
+        line_of = [k for k, line in enumerate((text or "").split("\n")) for _ in range(len(line.encode()) + 1)]
+        counts, at = Counter(), 0
+        for token in encoding.encode_ordinary(text or ""):
+            n = len(encoding.decode_single_token_bytes(token))
+            counts[line_of[at + (n - 1) // 2]] += 1
+            at += n
+        assert {k: n for k, n in found[doc_id] if n} == counts
+
+
 def test_urls_empty_repeated_and_long(spark):
     schema = "page_id bigint, url string, host int, rule string"
     urls = [None, "", "no scheme", "http://A.com/x" * 3, "https://long.example.net/" + "é" * 200_000, "http://#", "://"]
