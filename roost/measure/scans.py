@@ -1,4 +1,4 @@
-"""What the scans of a query read, from its metrics after a run."""
+"""What the scans of a query read and its shuffles wrote, from its metrics after a run."""
 
 from __future__ import annotations
 
@@ -45,3 +45,12 @@ def scans_of(df: DataFrame) -> list[Scan]:
             roots = node.relation().location().rootPaths()
             found.append(Scan(roots.apply(0).toString(), metric("numFiles"), metric("numOutputRows")))
     return found
+
+
+def shuffled_bytes(df: DataFrame) -> int:
+    """Bytes that the shuffles of ``df`` wrote; it has to have been run by an action on itself."""
+    return sum(
+        int(node.metrics().apply("shuffleBytesWritten").value())
+        for node in _nodes(df._jdf.queryExecution().executedPlan())
+        if node.getClass().getSimpleName() == "ShuffleExchangeExec"
+    )

@@ -1,7 +1,10 @@
 """The gate: what passes, what stops, and in which order."""
 
+import random
+
 import pytest
 
+from roost.measure.scans import shuffled_bytes
 from roost.operators.quality import GATES, DataQualityError, Gate, check_reviews
 
 
@@ -48,3 +51,46 @@ def test_one_scan(spark):
     measured = GATES["reviews"].measure(spark.read.parquet("/root/testdata/sf0.01/events.parquet")
         .selectExpr("event_id AS id", "user_id AS listing_id", "1 AS rating"))
     assert plan_of(measured).count("FileScan") == 1
+
+
+EDGES = [0, 1, -1, 32767, 32768, 32769, -32767, -32768, -32769, 2**63 - 1, -(2**63), 2**31]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_bitmaps_count_like_a_set(spark, seed):
+    """Around the borders of buckets, below zero, repeated, and without a key."""
+    draw = random.Random(seed)
+    keys = [draw.choice([*EDGES, None, draw.randrange(-70_000, 70_000)]) for _ in range(400)]
+    if seed == 2:
+        keys = [None, None]
+    rows = spark.createDataFrame([(k, 1) for k in keys], "k BIGINT, v INT").repartition(5)
+    for dense in (True, False):
+        found = Gate("t", ("k",), {"ones": "v = 1"}, dense=dense).measure(rows).first()
+        known = [k for k in keys if k is not None]
+        assert found.row_count == found.ones == len(keys)
+        assert found.distinct_ids == len(set(known))
+        assert found.duplicate_ids == len(known) - len(set(known))
+        assert found.null_keys == len(keys) - len(known)
+
+
+def test_bitmaps_over_no_rows_and_text_keys(spark):
+    gate = Gate("t", ("k",), dense=True)
+    assert gate.measure(spark.createDataFrame([], "k BIGINT")).first().asDict() == {
+        "row_count": 0, "distinct_ids": 0, "duplicate_ids": 0, "null_keys": 0,
+    }
+    assert gate.measure(spark.createDataFrame([("a",), ("a",), ("b",)], "k STRING")).first().distinct_ids == 2
+
+
+def test_numbered_keys_are_sent_as_bits(spark, tmp_path):
+    """A third of the rows repeat one key; the shuffle is an order smaller than one of keys."""
+    path = str(tmp_path / "rows")
+    spark.range(600_000).selectExpr(
+        "IF(id % 3 = 0, 7, id) AS id", "id AS listing_id", "1 AS rating"
+    ).write.parquet(path)
+    sent, counts = {}, {}
+    for dense in (True, False):
+        measured = Gate("t", ("id", "listing_id"), dense=dense).measure(spark.read.parquet(path))
+        counts[dense] = measured.collect()
+        sent[dense] = shuffled_bytes(measured)
+    assert counts[True] == counts[False]
+    assert 0 < sent[True] * 10 < sent[False]
