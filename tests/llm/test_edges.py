@@ -8,9 +8,10 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 
 from checks.compare import connect, difference
-from roost.llm import fingerprints, language, pii, quality, token_counts, toxicity, url_filter
+from roost.llm import fingerprints, language, mixing, pii, quality, token_counts, toxicity, url_filter
 from roost.llm.oracle import ORACLE
 from roost.llm.queries import QUERIES, _in_fold
 
@@ -181,3 +182,70 @@ def test_training_reads_long_words_to_their_end():
     sample.map(kernel, np.eye(2))
     row = sample.mapped[sample.words.index(word)]
     assert row[0] > 1e-4 > row[1]
+
+
+def _laid_out_by_hand(rows, targets):
+    """(taken words, positions) of each (doc_id, text, source), document by document."""
+    found = {}
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    for source, (target, shape) in targets.items():
+        own = []
+        for doc_id, text, s in rows:
+            if s == source:
+                key = 42 if text is None else signed(xxhash.xxh64(text.encode(), seed=42).intdigest())
+                name = f"{'' if doc_id is None else doc_id}:{key}"
+                own.append((hashlib.md5(name.encode()).hexdigest(), doc_id, len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))))
+        total, at = sum(size for *_, size in own), 0
+        for _, doc_id, size in sorted(own, key=lambda row: row[0]):
+            middles = [at + size / 2 + k * total for k in range(3)] if size else []
+            met = [m for m in middles if m < target]
+            found[doc_id] = (size * len(met), [_time_by_hand(m / target, shape) for m in met])
+            at += size
+    return found
+
+
+def _time_by_hand(share, shape):
+    """Bisection on the area below straight lines between evenly spaced weights."""
+    def area(t):
+        steps = np.linspace(0, t, 2001)
+        return np.trapezoid(np.interp(steps, np.linspace(0, 1, len(shape)), shape), steps)
+    low, high = 0.0, 1.0
+    for _ in range(40):
+        middle = (low + high) / 2
+        low, high = (middle, high) if area(middle) < share * area(1.0) else (low, middle)
+    return low
+
+
+@pytest.mark.parametrize("per_slice", [1, mixing.PER_SLICE])
+def test_what_the_mix_takes_and_where(spark, monkeypatch, per_slice):
+    """Every document's passes and positions, in many slices and blocks and in few."""
+    monkeypatch.setattr(mixing, "PER_SLICE", per_slice)
+    docs = spark.read.parquet(f"{TINY}/documents.parquet").select("doc_id", "text", "source")
+    more = [(-1, None, None), (-2, "", None), (-3, "one two three", None), (-4, "four", "A")]
+    docs = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    rows = [tuple(r) for r in docs.collect()]
+    names = sorted({s for *_, s in rows if s is not None}) + [None]
+    found = mixing.mixture(docs).collect()
+    source_of = {doc_id: source for doc_id, _, source in rows}
+    targets = {source_of[r.doc_id]: r.target for r in found}
+    shapes = {s: mixing.SHAPES[names.index(s) % len(mixing.SHAPES)] for s in names}
+    want = _laid_out_by_hand(rows, {s: (targets[s], shapes[s]) for s in names})
+    assert len(found) == len(rows) == len(want)
+    for r in found:
+        taken, positions = want[r.doc_id]
+        assert r.taken == taken, r.doc_id
+        assert r.positions == pytest.approx(positions, abs=1e-4), r.doc_id
+
+
+def test_slices_grow_with_the_rows():
+    for rows in (0, 10, 10**6, 10**11):
+        assert rows / 2 ** mixing.slice_bits(rows, mixing.PER_SLICE) <= mixing.PER_SLICE
+
+
+def test_rows_of_one_id_lie_in_many_slices(spark):
+    docs = spark.createDataFrame([(7, f"w{i} " * 3, "a") for i in range(300)] + [(None, f"v{i}", "a") for i in range(300)], "doc_id bigint, text string, source string")
+    rows, _ = mixing._laid_out(docs)
+    placed = rows.orderBy("start").collect()
+    assert [r.start for r in placed] == [0, *np.cumsum([r["size"] for r in placed])[:-1]]
+    order = [r.doc_id for r in placed]
+    assert sum(a != b for a, b in zip(order, order[1:])) > 100
