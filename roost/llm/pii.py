@@ -13,8 +13,10 @@ scored 0.5 or more that overlap no base span are added.
 
 Everything that touches a text is an SQL expression on its row: no shuffle of texts, no
 Python. Positions are code points. Patterns are written so that no start is tried twice and
-no repetition recurses, so very long texts and tokens take linear time. Secrets have no
-greatest length, so none leaves a tail behind; a run of 20 digits or more is no card.
+no repetition recurses, so very long texts and tokens take linear time. Texts are read
+around a span from chunks of them, and spans are walked in blocks, so that a text with very
+many spans costs in proportion too, but for totals of whole blocks. Secrets have no greatest
+length, so none leaves a tail behind; a run of 20 digits or more is no card.
 
 Null text is empty. Repeated rows are treated one by one. Without any candidate nothing is
 trained or added. Extra columns pass through ``redact_documents``.
@@ -67,6 +69,7 @@ _CUES = (
     r"|secret|key|ssn|social|id|number)[^A-Za-z0-9]{0,4}$"
 )
 _BLOCK = 512
+_CHUNK = 1024  # code points
 _NEAR = 24
 
 
@@ -83,6 +86,33 @@ def _sum(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0).cast("int"), lambda a, x: (a + x).cast("int"))
 
 
+def _with_chunks(df: DataFrame, wanted: Column) -> DataFrame:
+    """Add ``chunks``: ``body`` in pieces of ``_CHUNK``, where ``wanted``."""
+    pieces = F.regexp_extract_all(F.col("body"), F.lit(rf"(?s).{{1,{_CHUNK}}}"), F.lit(0))
+    return df.withColumn("chunks", F.when(wanted, pieces))
+
+
+def _text_between(start: Column, end: Column) -> Column:
+    """That part of ``body``; only the chunks it lies in are looked at."""
+    first = F.floor(start / _CHUNK).cast("int")
+    some = F.floor(F.greatest(end - 1, start) / _CHUNK).cast("int") - first + 1
+    joined = F.array_join(F.slice(F.col("chunks"), first + 1, some), "")
+    found = F.substring(joined, start - first * _CHUNK + 1, end - start)
+    return F.when(end > start, found).otherwise(F.lit(""))
+
+
+def _in_blocks(spans: Column) -> Column:
+    """Runs of ``_BLOCK`` spans, sorted by start: (first start, greatest end, spans)."""
+    run = lambda b: F.slice(spans, b * _BLOCK + 1, F.lit(_BLOCK))
+    block = lambda own: F.struct(
+        F.get(own, F.lit(0))["start"].alias("first"),
+        F.array_max(F.transform(own, lambda s: s["end"])).alias("last"),
+        own.alias("own"),
+    )
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / _BLOCK).cast("int")), run)
+    return F.when(F.size(spans) > 0, F.transform(runs, block))
+
+
 def _with_spans(df: DataFrame, name: str, pattern: str, may: Column) -> DataFrame:
     """Add ``name``: (start, end, hit) of each match in ``body``, leftmost, not overlapping.
 
@@ -181,9 +211,9 @@ def _described(span: Column) -> Column:
     """Votes and features of a candidate."""
     hit, start, end = span["hit"], span["start"], span["end"]
     digits = _digits(hit)
-    left = F.substring(F.col("body"), F.greatest(start - _NEAR, F.lit(0)) + 1, F.least(start, F.lit(_NEAR)))
+    left = _text_between(F.greatest(start - _NEAR, F.lit(0)), start)
     before = F.substring(left, F.greatest(F.length(left), F.lit(1)), F.lit(1))
-    after = F.substring(F.col("body"), end + 1, F.lit(1))
+    after = _text_between(end, end + 1)
     kind = (
         F.when(hit.rlike(r"^AKIA|="), KINDS.index("secret"))
         .when(hit.rlike(r"[\[(]at[\])]"), KINDS.index("email"))
@@ -232,8 +262,16 @@ _FEATURES = ("kind", "f_length", "f_left", "f_right", "f_cue")
 def _with_candidates(df: DataFrame) -> DataFrame:
     """Add ``more``: described candidates that overlap no base span."""
     df = _with_spans(df, "loose", CANDIDATE, F.col("body").rlike(_MAY_CANDIDATE))
-    free = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    return df.withColumn("more", F.transform(F.filter("loose", free), _described)).drop("loose")
+    df = _with_chunks(df, F.size("loose") > 0)
+    df = df.withColumn("blocks", F.when(F.size("loose") > 0, _in_blocks(F.col("base"))))
+    meet = lambda b, s: (b["start"] < s["end"]) & (s["start"] < b["end"])
+    near = lambda block, s: (block["first"] < s["end"]) & (s["start"] < block["last"])
+    free = lambda s: ~F.exists(
+        "blocks", lambda block: near(block, s) & F.exists(block["own"], lambda b: meet(b, s))
+    )
+    kept = F.when(F.size("blocks") > 0, F.filter("loose", free)).otherwise(F.col("loose"))
+    df = df.withColumn("more", F.transform(kept, _described))
+    return df.drop("loose", "chunks", "blocks")
 
 
 def _agreed(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[dict, dict]:
@@ -359,10 +397,7 @@ def redact_documents(docs: DataFrame) -> DataFrame:
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
     def step(done: Column, s: Column) -> Column:
-        piece = F.concat(
-            F.substring(F.col("body"), done["at"] + 1, F.greatest(s["start"] - done["at"], F.lit(0))),
-            F.get(names, s["kind"]),
-        )
+        piece = F.concat(_text_between(done["at"], s["start"]), F.get(names, s["kind"]))
         return F.struct(
             F.greatest(done["at"], s["end"]).alias("at"),
             F.when(s["start"] < done["at"], done["out"])
@@ -370,12 +405,18 @@ def redact_documents(docs: DataFrame) -> DataFrame:
             .alias("out"),
         )
 
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    rest = lambda done: F.concat(
-        F.array_join(done["out"], ""), F.substring(F.col("body"), done["at"] + 1, F.length("body"))
-    )
+    def written(block: Column, b: Column) -> Column:
+        """A block of spans and the text before each, from where the blocks before end."""
+        passed = F.array_max(F.transform(F.slice(F.col("blocks"), F.lit(1), b), lambda x: x["last"]))
+        begin = F.struct(F.coalesce(passed, F.lit(0)).alias("at"), F.array().cast("array<string>").alias("out"))
+        return F.aggregate(block["own"], begin, step, lambda done: F.array_join(done["out"], ""))
+
+    df = _with_chunks(df, F.size("spans") > 0).withColumn("blocks", _in_blocks(F.col("spans")))
+    last = F.array_max(F.transform("blocks", lambda x: x["last"]))
     redacted = F.when(F.size("spans") == 0, F.col("row.text")).otherwise(
-        F.aggregate("spans", empty, step, rest)
+        F.concat(
+            F.array_join(F.transform("blocks", written), ""), _text_between(last, F.length("body"))
+        )
     )
     df = df.select("row", redacted.alias("redacted"))
     columns = {c: F.col(f"row.`{c}`") for c in docs.columns}

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from collections import Counter, defaultdict
 
 import duckdb
@@ -249,3 +250,43 @@ def test_rows_of_one_id_lie_in_many_slices(spark):
     assert [r.start for r in placed] == [0, *np.cumsum([r["size"] for r in placed])[:-1]]
     order = [r.doc_id for r in placed]
     assert sum(a != b for a, b in zip(order, order[1:])) > 100
+
+
+def _redacted_by_hand(text, spans):
+    out, at = [], 0
+    for kind, start, end in (s.split(":") for s in filter(None, spans.split(","))):
+        start, end = int(start), int(end)
+        if start >= at:
+            out += [text[at:start], f"[{kind.upper()}]"]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
+def _many_spans(count):
+    kinds = ["a{0}@b{0}.co", "password=abcd{0:06d}", "9.8.7.6", "+49 30 {0:07d}", "4111-1111 1111 1111.9.9.9"]
+    return " é𝄞 ".join(kinds[i % len(kinds)].format(i) for i in range(count))
+
+
+def test_spans_across_chunks_and_blocks(spark):
+    """Longer than many chunks, more spans than a block, against a plain walk."""
+    texts = [_many_spans(n) for n in (1, 3, 700, 2500)]
+    texts += [" " * k + "password=secret99 call +49 30 1234567" + "x" * (2050 - k) for k in range(1000, 1030)]
+    texts += ["x" * 5000 + " jo@mail.org", "jo@mail.org", "+49 30 1234567 " * 600, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(8)
+    spans = {r.doc_id: r.spans for r in pii.find_personal_data(docs, pii.train(docs)).collect()}
+    for r in pii.redact_documents(docs).collect():
+        assert r.text == _redacted_by_hand(texts[r.doc_id], spans[r.doc_id]), r.doc_id
+    assert spans[2].count("secret") > 100 and spans[2].count("email") > 100
+
+
+def test_time_is_in_proportion_to_the_spans(spark):
+    def seconds(count):
+        docs = spark.createDataFrame([(1, _many_spans(count))], "doc_id bigint, text string")
+        started = time.perf_counter()
+        (row,) = pii.redact_documents(docs).collect()
+        assert row.text.count("[EMAIL]") == count // 5
+        return time.perf_counter() - started
+    seconds(1_000)
+    few, many = seconds(10_000), seconds(100_000)
+    print(few, many)
+    assert many < 15 * few, (few, many)
