@@ -6,7 +6,7 @@ import pytest
 
 from roost.plans import layouts
 from roost.plans.workloads import WORKLOADS
-from roost.sinks.layout import TUNED, declare_bucketed, is_even
+from roost.sinks.layout import ROWS_PER_BUCKET, TUNED, buckets_for, declare_bucketed, is_even
 from roost.sources import mapped, synthetic
 from roost.sources.synthetic import START, Scale
 from roost.plans.marketplace import Marketplace
@@ -78,3 +78,20 @@ def test_a_hot_booking_is_not_put_into_one_bucket(spark, lake, tmp_path):
     skewed = replace(lake, payments=hot)
     assert not layouts.write_bucketed_layout(spark, str(tmp_path), "never", skewed, 16)
     assert not spark.catalog.databaseExists("never")
+
+
+def test_buckets_follow_the_rows(spark, lake, tmp_path, monkeypatch):
+    """A task's bucket stays as it is while the tables grow, and both tables are cut alike."""
+    monkeypatch.setattr(layouts, "buckets_for", lambda rows, least: buckets_for(rows, least, 1_000))
+    assert layouts.write_bucketed_layout(spark, str(tmp_path), "more_buckets", lake, 4)
+    needed = -(-max(lake.payments.count(), lake.bookings.count()) // 1_000)
+    assert needed > 4
+    for dataset in layouts.BUCKETED:
+        detail = spark.sql(f"DESCRIBE EXTENDED more_buckets.{dataset}").where("col_name = 'Num Buckets'")
+        assert int(detail.first()["data_type"]) == needed
+    key = "q06_three_way_join"
+    found = WORKLOADS[key].plan(layouts.with_buckets(spark, lake, "more_buckets"))
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, WORKLOADS[key].plan(lake).collect()))
+    spark.sql("DROP DATABASE more_buckets CASCADE")
+    for rows in (0, 10**6, 10**8, 10**11):
+        assert rows / buckets_for(rows, 4) <= ROWS_PER_BUCKET
