@@ -10,6 +10,7 @@ from roost.operators.quality import DataQualityError
 from roost.paths import LakePaths
 from roost.plans import catalog, medallion
 from roost.schemas import MART_PARTITION, MARTS
+from roost.session import fresh_scratch
 from roost.sinks.tables import land, write_clean, write_mart
 from roost.sources.raw import count_landed, raw_if_landed, read_raw
 from roost.sources.stored import read_clean, read_clean_tables
@@ -127,6 +128,26 @@ def test_clean_tables_are_partitioned_without_ingest_date(spark, lake):
     assert list(Path(paths.clean("transactions")).glob("txn_date=*"))
 
 
+def test_small_totals_are_not_spread_over_every_part_of_a_shuffle(spark, lake, setting):
+    """Parts times parts of blocks are written otherwise, however few rows there are."""
+    paths, before = lake
+    setting(spark__sql__shuffle__partitions="61")
+    scratch = Path(fresh_scratch(spark, "any")).parent
+    kept_before = set(scratch.glob("totals-*"))
+    context = spark.sparkContext
+    context.setJobGroup("publish", "marts")
+    try:
+        assert medallion.publish_all(spark, paths) == before.marts
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("publish")]
+    stages = [tracker.getStageInfo(s) for job in jobs for s in job.stageIds]
+    tasks = [stage.numTasks for stage in stages if stage is not None and stage.numCompletedTasks]
+    assert tasks and 61 not in tasks
+    assert set(scratch.glob("totals-*")) == kept_before
+
+
 def test_only_listings_and_reviews(spark, paths):
     raw = RawData(listings=20).tables(spark)
     outcome = medallion.run(spark, paths, {d: raw[d] for d in ("listings", "reviews")}, DAY)
