@@ -10,7 +10,10 @@ With that many pieces a shard leaves at most its last sequences open, so the num
 shards, which grows with the input, costs next to nothing.
 
 Tokens of a word do not depend on its neighbours, since the tokenizer drops white space,
-so a task keeps the ids of words that it has met, up to ``CACHED``.
+so a task keeps the ids of words that it has met, up to ``CACHED``. A word of printable ASCII
+and of Latin-1 letters is cut as the tokenizer cuts it, and only its parts are encoded: for
+those the tokenizer's normal form is the lower-case word. All other words go through the
+whole tokenizer.
 
 Null text is empty: a document of the end id alone. Repeated rows are packed one by one,
 each as a document of its own. Extra columns are ignored.
@@ -19,6 +22,7 @@ each as a document of its own. Extra columns are ignored.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -38,6 +42,13 @@ CACHED = 400_000
 TOKENIZER = "word_bpe_49k.json"
 
 
+#: Words whose normal form is plain lower case, and the tokenizer's pieces of that.
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: Bytes of those letters in UTF-8, as the characters that stand for them in the vocabulary.
+_BYTE_CHARS = {b: chr(256 + i) for i, b in enumerate([*range(33), *range(127, 161), 173])}
+
+
 class WordIds(dict):
     """Ids of a word, as bytes of little-endian 32-bit numbers."""
 
@@ -50,23 +61,26 @@ class WordIds(dict):
         if len(self) >= CACHED:
             self.clear()
         # Special tokens are found before lower-casing, so their case counts.
-        if word.isascii() and len(word) <= 64 and "<|" not in word:
+        if len(word) <= 64 and _PLAIN.fullmatch(word) and "<|" not in word:
             lower = word.lower()
             if lower != word:
                 ids = self[lower]
-            elif word.isalpha():
-                # Plain letters are one piece of the pre-tokenizer, as they are.
-                ids = np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
-            elif word[-1] in ".,!" and word[:-1].isalpha():
-                ids = self[word[:-1]] + self[word[-1]]
             else:
-                ids = self.encoded(word)
+                pieces = _PIECES.findall(word)
+                ids = self.piece(word) if len(pieces) == 1 else b"".join([self[p] for p in pieces])
         else:
             ids = self.encoded(word)
         if len(word) <= 64:
             self[word] = ids
         return ids
 
+    def piece(self, piece: str) -> bytes:
+        """Ids of one piece of the pre-tokenizer."""
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(_BYTE_CHARS)
+        ids = [t.id for t in self.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def encoded(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 

@@ -12,7 +12,7 @@ import pytest
 import xxhash
 
 from checks.compare import connect, difference
-from roost.llm import fingerprints, language, mixing, pii, quality, token_counts, toxicity, url_filter
+from roost.llm import fingerprints, language, mixing, packing, pii, quality, token_counts, toxicity, url_filter
 from roost.llm.oracle import ORACLE
 from roost.llm.queries import QUERIES, _in_fold
 
@@ -290,3 +290,16 @@ def test_time_is_in_proportion_to_the_spans(spark):
     few, many = seconds(10_000), seconds(100_000)
     print(few, many)
     assert many < 15 * few, (few, many)
+
+
+def test_plain_words_are_encoded_piece_by_piece():
+    """Words of ASCII and Latin-1 letters need no whole tokenizer, and get the ids it gives."""
+    path = public_tokenizers.path(packing.TOKENIZER)
+    plain = ["Été", "straße.%%%", "it's", "don't!", "a1b22", "mail5@example.com", "ÉÉÉ###", "|<", "'", "x" * 64]
+    other = ["²", "½a", "e\u0301", "ª", "<|endoftext|>", "İx", "中", "a\u0085b", "a÷b", "x" * 65]
+    words, whole = packing.WordIds(path), []
+    encoded = words.encoded
+    words.encoded = lambda word: whole.append(word) or encoded(word)
+    for word in plain + other:
+        assert words[word] == encoded(word), word
+    assert whole == other
