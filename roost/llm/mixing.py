@@ -9,8 +9,8 @@ straight lines between, scaled so that its integral is the source's target. A so
 documents, in the order of a hash, are laid end to end as often as the target needs. A
 pass of a document is taken if its middle lies before the target. Its place there is the
 cumulative demand that must have arisen when it is used; inverting the integral of the
-schedule gives the time, its training position in [0, 1]. Ordering all passes by position
-is one range sort.
+schedule gives the time, its training position in [0, 1]. One range sort of all passes by
+position, then id, text and source, is the training order; a pass's place is its rank there.
 
 Nothing is gathered: documents are cut into slices by that hash, so many that one holds
 about ``PER_SLICE`` of them. Sums of slices give each slice's start, added up in blocks of
@@ -39,17 +39,17 @@ PER_SLICE = 1 << 12  # documents
 _HASH_BITS = 60  # fifteen hexadecimal digits
 
 
-def _ranked(sources: DataFrame) -> DataFrame:
-    """Add ``place``, counted from 0 in the order of the source, null last.
+def _ranked(rows: DataFrame, purpose: str, *order: str | Column) -> DataFrame:
+    """Add ``place``, counted from 0 in the given order.
 
-    Sources are range-sorted; only the number of sources in each range meets in one task.
+    Rows are range-sorted; only the number of rows in each range meets in one task.
     """
-    ordered = sources.orderBy(F.col("source").asc_nulls_last())
+    ordered = rows.orderBy(*order)
     ordered = keep(
         ordered.select("*", F.spark_partition_id().alias("part")).withColumn(
             "within", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
         ),
-        "sources",
+        purpose,
     )
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -64,7 +64,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, limit: int = LIMIT) -> Dat
     """source, source_size, place, target of the rows (source, size)."""
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     kinds = F.array(*[F.lit(w).cast("bigint") for w in weights])
-    table = _ranked(sources).select(
+    table = _ranked(sources, "sources", F.col("source").asc_nulls_last()).select(
         "source",
         "source_size",
         "place",
@@ -189,14 +189,30 @@ def _positions(passes: Column) -> Column:
 
 
 def mixture(docs: DataFrame) -> DataFrame:
-    """What the mix takes of each document, and the positions of its passes."""
-    return _mixed(docs).select(
+    """What the mix takes of each document, and the positions and places of its passes."""
+    mixed = _mixed(docs).select(
         "doc_id",
+        "source",
+        "text_key",
         "size",
         "source_size",
         "target",
         (F.col("size") * F.col("passes")).alias("taken"),
         _positions(F.col("passes")).alias("positions"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    mixed = keep(mixed, "mixed")
+    passes = mixed.select("row", "doc_id", "text_key", "source", F.explode("positions").alias("position"))
+    order = _ranked(passes, "order", "position", "doc_id", "text_key", "source")
+    places = order.groupBy("row").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    return mixed.join(places, "row", "left").select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        "taken",
+        "positions",
+        F.coalesce("places", F.array().cast("array<bigint>")).alias("places"),
     )
 
 
@@ -221,5 +237,5 @@ def mix_documents(docs: DataFrame) -> DataFrame:
         & F.col("id3").eqNullSafe(F.col("key3"))
         & (F.col("nth") == F.col("twin"))
     )
-    taken = rows.join(places, same).select("row", "id", F.explode("positions").alias("position"))
-    return taken.orderBy("position", "id").select("row.*")
+    taken = rows.join(places, same).select("row", "id", "id2", "id3", F.explode("positions").alias("position"))
+    return taken.orderBy("position", "id", "id2", "id3").select("row.*")

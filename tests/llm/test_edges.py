@@ -238,6 +238,24 @@ def test_what_the_mix_takes_and_where(spark, monkeypatch, per_slice):
         assert r.positions == pytest.approx(positions, abs=1e-4), r.doc_id
 
 
+def test_places_are_the_training_order(spark):
+    """Every pass has its rank among the passes of all sources, also with ids that repeat or
+    are null, and documents leave the mix in that order."""
+    docs = spark.read.parquet(f"{TINY}/documents.parquet").select("doc_id", "text", "source")
+    more = [(7, "one two three", "z"), (7, "one two four", "z"), (None, "five", None), (None, None, None), (-1, "", "z")]
+    docs = docs.unionByName(spark.createDataFrame(more, docs.schema)).repartition(7)
+    found = mixing.mixture(docs).collect()
+    assert len(found) == docs.count()
+    assert all(len(r.places) == len(r.positions) for r in found)
+    passes = sorted((place, position, r.doc_id) for r in found for place, position in zip(r.places, r.positions))
+    assert [place for place, *_ in passes] == list(range(len(passes)))
+    positions = [position for _, position, _ in passes]
+    assert positions == sorted(positions) and len(passes) > len(docs.select("source").distinct().collect())
+    assert [r.doc_id for r in mixing.mix_documents(docs).collect()] == [doc_id for *_, doc_id in passes]
+    query = {r.doc_id: r.first_place for r in QUERIES["op2_source_mix"](spark, TINY).collect()}
+    assert min(p for p in query.values() if p is not None) == 0
+
+
 def test_slices_grow_with_the_rows():
     for rows in (0, 10, 10**6, 10**11):
         assert rows / 2 ** mixing.slice_bits(rows, mixing.PER_SLICE) <= mixing.PER_SLICE
